@@ -9,7 +9,7 @@ from __future__ import annotations
 from typing import Any
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import VarianceThresholdSelector, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +20,7 @@ from salescast.sources.schemas import FEATURES, TARGET
 
 # Default size of each model. A leaf of five rows implies that a split needs ten.
 DEFAULTS: dict[str, dict[str, Any]] = {
-    "linear_regression": {"regParam": 0.0, "fitIntercept": True},
+    "linear_regression": {"regParam": 0.0, "fitIntercept": True, "tol": 1e-12, "maxIter": 1000},
     "random_forest": {
         "numTrees": 100, "maxDepth": 15, "minInstancesPerNode": 5, "featureSubsetStrategy": "all",
         "subsamplingRate": 1.0, "maxBins": 256, "maxMemoryInMB": 1024, "seed": 42,
@@ -90,11 +90,14 @@ class SalesModel:
         """Fit on the feature columns of ``train``; a missing feature value raises."""
         if "checkpointInterval" in self.params:
             shared_folder(train.sparkSession)
-        assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="error")
+        stages = [VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="error")]
+        if self.kind == "linear_regression":
+            # A constant feature makes the normal equations singular; without it they are solved exactly.
+            stages.append(VarianceThresholdSelector(featuresCol="features", outputCol="varying"))
         estimator = ESTIMATORS[self.kind](
-            featuresCol="features", labelCol=target, predictionCol="prediction", **self.params
+            featuresCol=stages[-1].getOutputCol(), labelCol=target, predictionCol="prediction", **self.params
         )
-        self.fitted = Pipeline(stages=[assembler, estimator]).fit(train.select(*features, target))
+        self.fitted = Pipeline(stages=[*stages, estimator]).fit(train.select(*features, target))
         return self
 
     def predict(self, df: DataFrame, output: str = "yhat") -> DataFrame:
@@ -102,10 +105,16 @@ class SalesModel:
         scored = self._require_fit().transform(df)
         return scored.select(*df.columns, floor_at_zero(F.col("prediction")).cast("double").alias(output))
 
+    def coefficients(self) -> list[float]:
+        """Coefficients of a linear model, one per feature; constant features have 0."""
+        selected = self._require_fit().stages[1].selectedFeatures
+        known = dict(zip(selected, self.regressor.coefficients.toArray()))
+        return [float(known.get(i, 0.0)) for i in range(len(self.features))]
+
     def importance_values(self) -> list[float]:
         """Absolute coefficients of a linear model, importances of a tree model, one per feature."""
         if self.kind == "linear_regression":
-            return [abs(float(c)) for c in self.regressor.coefficients.toArray()]
+            return [abs(c) for c in self.coefficients()]
         return [float(v) for v in self.regressor.featureImportances.toArray()]
 
     def importance(self, spark: SparkSession, feature_names: list[str] | None = None) -> DataFrame:

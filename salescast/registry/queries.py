@@ -151,7 +151,7 @@ def required_nulls(spark, sf):
 def forecast_sink(spark, sf):
     path = scratch_path(spark, "forecast")
     writers.write_forecast(forecast_table(spark, sf), path)
-    return spark.read.schema("id bigint, sales double").option("header", True).csv(path)
+    return rounded(spark.read.schema("id bigint, sales double").option("header", True).csv(path))
 
 
 # Join -----------------------------------------------------------------------------------------------------
@@ -356,8 +356,8 @@ QUERIES["preprocess_horizon"] = QUERIES.pop("preprocess_horizon_query")
 def linear_model(spark, sf):
     """Terms of the three-feature linear model."""
     data, _, _ = training_data(sales(spark, sf), stores(spark, sf))
-    fitted = linear_fit(data).regressor
-    terms = [("intercept", float(fitted.intercept)), *zip(LINEAR_FEATURES, map(float, fitted.coefficients))]
+    model = linear_fit(data)
+    terms = [("intercept", float(model.regressor.intercept)), *zip(LINEAR_FEATURES, model.coefficients())]
     return rounded(spark.createDataFrame(terms, "term string, value double"), 4)
 
 
