@@ -5,7 +5,7 @@ from __future__ import annotations
 from bisect import bisect_right
 from itertools import accumulate
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salescast.session import materialize
@@ -14,52 +14,54 @@ SINCE_COLUMNS = [
     "competition_open_since_month", "competition_open_since_year", "promo2_since_week", "promo2_since_year",
 ]
 
-# Distinct values that one task may hold for the final selection; beyond it the histogram is narrowed first.
-VALUES_PER_TASK = 1_000_000
+# A histogram with up to this many distinct values is searched in place; a longer one is narrowed first.
+LOCAL_VALUES = 10_000
 
 
-def _around_middle(histogram: DataFrame, pieces: int) -> tuple[DataFrame, int]:
-    """The slice of ``histogram`` that holds the middle ranks, and the weight of all smaller values."""
+def _around(histogram: DataFrame, low: int, high: int, pieces: int) -> tuple[DataFrame, int]:
+    """The slice of ``histogram`` that holds the ranks ``low`` and ``high``, and the weight before it."""
     cuts = sorted(set(histogram.approxQuantile("value", [i / pieces for i in range(1, pieces)], 0.1 / pieces)))
-    piece = F.lit(0)
-    for cut in cuts:
-        piece = piece + (F.col("value") > cut).cast("int")
+    piece = sum(((F.col("value") > cut).cast("int") for cut in cuts), F.lit(0))
     weights = dict(histogram.groupBy(piece.alias("piece")).agg(F.sum("n")).collect())
     running = list(accumulate(weights.get(i, 0) for i in range(len(cuts) + 1)))
-    low = bisect_right(running, (running[-1] - 1) // 2)
-    high = bisect_right(running, running[-1] // 2)
+    first, last = bisect_right(running, low), bisect_right(running, high)
     inside = F.lit(True)
-    if low > 0:
-        inside = inside & (F.col("value") > cuts[low - 1])
-    if high < len(cuts):
-        inside = inside & (F.col("value") <= cuts[high])
-    return histogram.where(inside), running[low - 1] if low else 0
+    if first > 0:
+        inside = inside & (F.col("value") > cuts[first - 1])
+    if last < len(cuts):
+        inside = inside & (F.col("value") <= cuts[last])
+    return histogram.where(inside), running[first - 1] if first else 0
 
 
 def exact_median(df: DataFrame, column: str, weight: str | None = None) -> float | None:
     """Exact median of the non-missing values; the middle two are averaged for an even count.
 
-    Rows are first reduced to (value, count), so only distinct values are shuffled. If even those are too
-    many for a task, the ranks around the middle are cut out by value range, as often as needed.
+    Rows are first reduced to (value, count), so only distinct values are shuffled. If there are many of
+    them, the ranks around the middle are cut out by value range, as often as needed.
     """
     count = F.sum(weight) if weight else F.count(F.lit(1))
-    histogram = materialize(
+    histogram = (
         df.where(F.col(column).isNotNull())
         .groupBy(F.col(column).cast("double").alias("value"))
-        .agg(count.cast("bigint").alias("n")),
-        "median",
+        .agg(count.cast("bigint").alias("n"))
     )
-    distinct, total = histogram.agg(F.count(F.lit(1)), F.sum("n")).first()
-    if not distinct:
+    low = high = None
+    rows = histogram.limit(LOCAL_VALUES + 1).collect()
+    if len(rows) > LOCAL_VALUES:
+        histogram = materialize(histogram, "median")
+        total = histogram.agg(F.sum("n")).first()[0]
+        low, high = (total - 1) // 2, total // 2
+        while len(rows) > LOCAL_VALUES:
+            histogram, before = _around(histogram, low, high, pieces=64)
+            low, high = low - before, high - before
+            rows = histogram.limit(LOCAL_VALUES + 1).collect()
+    if not rows:
         return None
-    low, high = (total - 1) // 2, total // 2
-    while distinct > VALUES_PER_TASK:
-        histogram, below = _around_middle(histogram, pieces=64)
-        low, high = low - below, high - below
-        distinct = histogram.count()
-    upto = F.sum("n").over(Window.orderBy("value"))
-    ranked = histogram.select("value", upto.alias("upto"))
-    return sum(ranked.agg(*[F.min(F.when(F.col("upto") > rank, F.col("value"))) for rank in (low, high)]).first()) / 2
+    rows.sort()
+    upto = list(accumulate(n for _, n in rows))
+    if low is None:
+        low, high = (upto[-1] - 1) // 2, upto[-1] // 2
+    return (rows[bisect_right(upto, low)].value + rows[bisect_right(upto, high)].value) / 2
 
 
 def impute_distance(df: DataFrame, fill: float | None = None) -> DataFrame:

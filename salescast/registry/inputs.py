@@ -2,21 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salescast.plans.preprocess import preprocess_train
-from salescast.sources import derived
+from salescast.session import materialize
 from salescast.sources.schemas import FEATURES
 
 
-def importance_input(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(model, feature, importance): |slope| of the one-feature line through the training rows.
+def importance_input(data: DataFrame) -> DataFrame:
+    """(model, feature, importance): |slope| of the one-feature line through the sales rows.
 
     All lines are fitted in one aggregation. A feature without variation gets 0.
     """
-    rows, _ = preprocess_train(derived.sales_table(spark, sf_dir), derived.store_table(spark, sf_dir))
-    slopes = rows.agg(
+    slopes = data.agg(
         *[F.coalesce(F.abs(F.regr_slope(F.col("sales"), F.col(f))), F.lit(0.0)).alias(f) for f in FEATURES]
     )
-    return slopes.unpivot([], FEATURES, "feature", "importance").select(F.lit("line").alias("model"), "*")
+    rows = slopes.unpivot([], FEATURES, "feature", "importance").select(F.lit("line").alias("model"), "*")
+    return materialize(rows, "importances")

@@ -225,6 +225,14 @@ STORE_COLUMNS = (
     "promo2 promo2_since_week promo2_since_year promo_interval"
 ).split()
 
+COLUMNS_BY_TYPE = {
+    "int": ["store", "sales", "customers", "promo2"],
+    "tinyint": ["day_of_week", "open", "promo", "school_holiday"],
+    "date": ["sale_date"],
+    "string": ["state_holiday", "store_type", "assortment", "promo_interval"],
+    "double": [c for c in STORE_COLUMNS if c.startswith("competition") or c.startswith("promo2_")],
+}
+
 
 def _report() -> str:
     pairs = [(m, side) for m in ("rmspe", "rmse", "mape", "r2") for side in ("train", "validation")]
@@ -297,6 +305,11 @@ select 'sales' as name, rows, cast({len(SALES_COLUMNS) + len(STORE_COLUMNS)} as
   round(100.0 * missing_cells / (rows * {len(SALES_COLUMNS) + len(STORE_COLUMNS)}), 6) as missing_pct
 from (select count(*) as rows, {_missing_cells('enriched', SALES_COLUMNS + STORE_COLUMNS)} as missing_cells
       from enriched) t""",
+    "column_types": " union all ".join(
+        f"select '{kind}' as type, {len(columns)} as columns, {_missing_cells('enriched', columns)} as missing"
+        " from enriched"
+        for kind, columns in COLUMNS_BY_TYPE.items()
+    ),
     # Imputation covers every store attribute with gaps, so only the horizon's open column is left.
     "remaining_nulls": "select * from (" + _nulls("enriched_horizon", ["open"]) + ") t where missing > 0",
     "cleaning_audit": """

@@ -23,7 +23,7 @@ from salescast.plans.preprocess import preprocess_horizon, preprocess_train
 from salescast.plans.report import evaluation_report
 from salescast.plans.train import train_all
 from salescast.registry.inputs import importance_input
-from salescast.session import scratch_path
+from salescast.session import materialize, scratch_path
 from salescast.sources import derived, readers, schemas, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -99,16 +99,16 @@ def linear_fit(data: DataFrame) -> SalesModel:
     return model.fit(data.where(F.col("split") == splits.TRAIN), LINEAR_FEATURES)
 
 
-def three_models_wide(spark, sf):
-    """Both sides with the predictions of the mean predictors and the three-feature linear model."""
-    data, _, _ = training_data(sales(spark, sf), stores(spark, sf))
-    means = fit_mean_baseline(data.where(F.col("split") == splits.TRAIN))
-    return linear_fit(data).predict(means.predict_overall(means.predict(data, "by_group"), "by_mean"), "by_line")
+def feature_data(spark, sf):
+    return training_data(sales(spark, sf), stores(spark, sf))[0]
 
 
-def three_models_scores(spark, sf):
+def three_models_scores(data: DataFrame) -> DataFrame:
+    """Scores of the two mean predictors and the three-feature linear model, on both sides."""
+    means = fit_mean_baseline(data.where(F.col("split") == splits.TRAIN))
+    wide = linear_fit(data).predict(means.predict_overall(means.predict(data, "by_group"), "by_mean"), "by_line")
     columns = {"mean_baseline": "by_group", "global_mean": "by_mean", "LinearRegression": "by_line"}
-    return evaluate.metrics(evaluate.stack_predictions(three_models_wide(spark, sf), columns))
+    return materialize(evaluate.metrics(evaluate.stack_predictions(wide, columns)), "scores")
 
 
 def validation_residuals(spark, sf):
@@ -355,7 +355,7 @@ QUERIES["preprocess_horizon"] = QUERIES.pop("preprocess_horizon_query")
 @query
 def linear_model(spark, sf):
     """Terms of the three-feature linear model."""
-    data, _, _ = training_data(sales(spark, sf), stores(spark, sf))
+    data = feature_data(spark, sf)
     model = linear_fit(data)
     terms = [("intercept", float(model.regressor.intercept)), *zip(LINEAR_FEATURES, model.coefficients())]
     return rounded(spark.createDataFrame(terms, "term string, value double"), 4)
@@ -394,7 +394,7 @@ def predict(spark, sf):
 
 @query
 def importance_linear(spark, sf):
-    data, _, _ = training_data(sales(spark, sf), stores(spark, sf))
+    data = feature_data(spark, sf)
     return rounded(linear_fit(data).importance(spark, LINEAR_FEATURES), 4)
 
 
@@ -406,7 +406,7 @@ def importance_tree(spark, sf):
 
 @query
 def importance_table(spark, sf):
-    data, _, _ = training_data(sales(spark, sf), stores(spark, sf))
+    data = feature_data(spark, sf)
     return rounded(linear_fit(data).importance(spark), 4)
 
 
@@ -447,32 +447,30 @@ def evaluate_model(spark, sf):
 
 @query
 def comparison_table(spark, sf):
-    return rounded(evaluate.comparison_table(three_models_scores(spark, sf), [*evaluate.REPORT_METRICS, "unknown"]), 5)
+    return rounded(evaluate.comparison_table(three_models_scores(feature_data(spark, sf)), [*evaluate.REPORT_METRICS, "unknown"]), 5)
 
 
 @query
 def best_model(spark, sf):
-    return evaluate.best_model(three_models_scores(spark, sf))
+    return evaluate.best_model(three_models_scores(feature_data(spark, sf)))
 
 
 @query
 def importance_top_n(spark, sf):
-    return rounded(importance.top_features(importance_input(spark, sf), "line", 20))
+    return rounded(importance.top_features(importance_input(feature_data(spark, sf)), "line", 20))
 
 
 @query
 def importance_share(spark, sf):
-    return rounded(importance.importance_share(importance_input(spark, sf), "line", 10))
+    return rounded(importance.importance_share(importance_input(feature_data(spark, sf)), "line", 10))
 
 
 @query
 def evaluation_report_query(spark, sf):
-    return rounded(evaluation_report(three_models_scores(spark, sf), _importances_of_best(spark, sf)), 5)
-
-
-def _importances_of_best(spark, sf):
-    """The input importances, filed under the model that the report will find best."""
-    return importance_input(spark, sf).withColumn("model", F.lit("mean_baseline"))
+    data = feature_data(spark, sf)
+    # The importances are filed under the model that the report finds best.
+    importances = importance_input(data).withColumn("model", F.lit("mean_baseline"))
+    return rounded(evaluation_report(three_models_scores(data), importances), 5)
 
 
 QUERIES["evaluation_report"] = QUERIES.pop("evaluation_report_query")
@@ -540,12 +538,12 @@ def sales_hist(spark, sf):
 
 @query
 def model_ranking(spark, sf):
-    return rounded(evaluate.model_ranking(three_models_scores(spark, sf)), 4)
+    return rounded(evaluate.model_ranking(three_models_scores(feature_data(spark, sf))), 4)
 
 
 @query
 def importance_by_category(spark, sf):
-    return rounded(importance.importance_by_category(importance_input(spark, sf), "line"))
+    return rounded(importance.importance_by_category(importance_input(feature_data(spark, sf)), "line"))
 
 
 @query

@@ -42,9 +42,19 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def _run_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark).rstrip('/')}/salescast-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unused path in the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new, unused path in this application's part of the shared folder."""
+    return f"{_run_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def release(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this application, once nothing reads them any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_run_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
