@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salescast.operators.split import TRAIN, VALIDATION
+from salescast.session import small_table
 
 
 def residuals(df: DataFrame, y: str = "y", yhat: str = "yhat") -> DataFrame:
@@ -36,7 +37,7 @@ def histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
     low, high = known.agg(F.min("value"), F.max("value")).first()
     spark = df.sparkSession
     if low is None:
-        return spark.createDataFrame([], "bin int, low double, high double, count bigint")
+        return small_table(spark, [], bin="int", low="double", high="double", count="bigint")
     if low == high:
         low, high = low - 0.5, high + 0.5
     width = (high - low) / bins

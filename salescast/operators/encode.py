@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from salescast.session import materialize
+from salescast.session import materialize, small_table
 from salescast.sources.schemas import CATEGORICAL
 
 log = logging.getLogger(__name__)
@@ -44,8 +44,7 @@ def _number_locally(labels: DataFrame, rows: list) -> DataFrame:
     for column, label in sorted(rows):
         codes[column] = codes.get(column, -1) + 1
         numbered.append((column, label, codes[column]))
-    table = labels.sparkSession.createDataFrame(numbered, "column string, label string, code int")
-    return F.broadcast(table)
+    return F.broadcast(small_table(labels.sparkSession, numbered, column="string", label="string", code="int"))
 
 
 def _number_distributed(labels: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salescast.functions.stores import floor_at_zero
-from salescast.session import shared_folder
+from salescast.session import shared_folder, small_table
 from salescast.sources.schemas import FEATURES, TARGET
 
 # Default size of each model. A leaf of five rows implies that a split needs ten.
@@ -121,7 +121,7 @@ class SalesModel:
         """(feature, importance) in descending order; empty if the model is not fitted."""
         values = self.importance_values() if self.is_fitted else []
         names = feature_names or [f"feature_{i}" for i in range(len(values))]
-        table = spark.createDataFrame(list(zip(names, values)), "feature string, importance double")
+        table = small_table(spark, list(zip(names, values)), feature="string", importance="double")
         return table.orderBy(F.desc("importance"), "feature")
 
     def save(self, path: str) -> None:

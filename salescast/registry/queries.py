@@ -23,7 +23,7 @@ from salescast.plans.preprocess import preprocess_horizon, preprocess_train
 from salescast.plans.report import evaluation_report
 from salescast.plans.train import train_all
 from salescast.registry.inputs import importance_input
-from salescast.session import materialize, scratch_path
+from salescast.session import materialize, scratch_path, small_table
 from salescast.sources import derived, readers, schemas, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,6 +51,11 @@ def sales(spark, sf):
     return derived.sales_table(spark, sf)
 
 
+def stored_sales(spark, sf):
+    """The sales table as a file, for queries that scan it more than once."""
+    return materialize(derived.sales_table(spark, sf), "sales")
+
+
 def horizon(spark, sf):
     return derived.horizon_table(spark, sf)
 
@@ -81,7 +86,7 @@ def with_side(df: DataFrame) -> DataFrame:
 
 def baseline_wide(spark, sf):
     """Both sides with the predictions of the two mean predictors."""
-    data = with_side(clean.clean(sales(spark, sf)))
+    data = with_side(clean.clean(stored_sales(spark, sf)))
     model = fit_mean_baseline(data.where(F.col("split") == splits.TRAIN))
     return model.predict_overall(model.predict(data, "by_group"), "by_mean")
 
@@ -100,7 +105,7 @@ def linear_fit(data: DataFrame) -> SalesModel:
 
 
 def feature_data(spark, sf):
-    return training_data(sales(spark, sf), stores(spark, sf))[0]
+    return training_data(stored_sales(spark, sf), stores(spark, sf))[0]
 
 
 def three_models_scores(data: DataFrame) -> DataFrame:
@@ -202,7 +207,7 @@ def cleaning_audit(spark, sf):
 
 @query
 def split_audit(spark, sf):
-    data = clean.clean(sales(spark, sf))
+    data = clean.clean(stored_sales(spark, sf))
     return profile.split_audit(data, splits.split_date(data))
 
 
@@ -226,7 +231,8 @@ def fill_open(spark, sf):
 
 @query
 def impute_distance(spark, sf):
-    return keyed(impute.impute_distance(enriched_open(spark, sf)), "competition_distance")
+    data = clean.clean(enrich_store(stored_sales(spark, sf), stores(spark, sf)))
+    return keyed(impute.impute_distance(data), "competition_distance")
 
 
 @query
@@ -298,7 +304,7 @@ def label_fit(spark, sf):
 
 @query
 def label_fit_transform(spark, sf):
-    data = enriched_open(spark, sf)
+    data = clean.clean(enrich_store(stored_sales(spark, sf), stores(spark, sf)))
     return keyed(encode.encode_labels(data, encode.fit_labels(data)), *schemas.CATEGORICAL)
 
 
@@ -311,17 +317,17 @@ def label_transform(spark, sf):
 
 @query
 def feature_matrix(spark, sf):
-    return rounded(features.feature_matrix(preprocess_train(sales(spark, sf), stores(spark, sf))[0]))
+    return rounded(features.feature_matrix(preprocess_train(stored_sales(spark, sf), stores(spark, sf))[0]))
 
 
 @query
 def split_weeks(spark, sf):
-    return keyed(with_side(clean.clean(sales(spark, sf))), "sales", "split")
+    return keyed(with_side(clean.clean(stored_sales(spark, sf))), "sales", "split")
 
 
 @query
 def split_ratio(spark, sf):
-    data = clean.clean(sales(spark, sf))
+    data = clean.clean(stored_sales(spark, sf))
     train, validation = splits.time_split(data, validation_weeks=None, train_ratio=0.8)
     both = train.withColumn("split", F.lit("train")).unionByName(validation.withColumn("split", F.lit("validation")))
     return keyed(both, "sales", "split")
@@ -334,7 +340,7 @@ def sort_by_date(spark, sf):
 
 @query
 def preprocess_train_query(spark, sf):
-    return rounded(preprocess_train(sales(spark, sf), stores(spark, sf))[0])
+    return rounded(preprocess_train(stored_sales(spark, sf), stores(spark, sf))[0])
 
 
 QUERIES["preprocess_train"] = QUERIES.pop("preprocess_train_query")
@@ -342,7 +348,7 @@ QUERIES["preprocess_train"] = QUERIES.pop("preprocess_train_query")
 
 @query
 def preprocess_horizon_query(spark, sf):
-    labels = preprocess_train(sales(spark, sf), stores(spark, sf))[1]
+    labels = preprocess_train(stored_sales(spark, sf), stores(spark, sf))[1]
     return rounded(preprocess_horizon(horizon(spark, sf), stores(spark, sf), labels))
 
 
@@ -358,11 +364,11 @@ def linear_model(spark, sf):
     data = feature_data(spark, sf)
     model = linear_fit(data)
     terms = [("intercept", float(model.regressor.intercept)), *zip(LINEAR_FEATURES, model.coefficients())]
-    return rounded(spark.createDataFrame(terms, "term string, value double"), 4)
+    return rounded(small_table(spark, terms, term="string", value="double"), 4)
 
 
 def _scored_model(spark, sf, name: str) -> DataFrame:
-    data, _, inputs = training_data(sales(spark, sf), stores(spark, sf))
+    data, _, inputs = training_data(stored_sales(spark, sf), stores(spark, sf))
     return rounded(train_all(data, [name], SMALL, inputs).scores)
 
 
@@ -388,7 +394,7 @@ def boosted_leaf(spark, sf):
 
 @query
 def predict(spark, sf):
-    data = with_side(preprocess_train(sales(spark, sf), stores(spark, sf))[0])
+    data = with_side(preprocess_train(stored_sales(spark, sf), stores(spark, sf))[0])
     return rounded(keyed(linear_fit(data).predict(data), "split", "yhat"), 3)
 
 
@@ -400,7 +406,7 @@ def importance_linear(spark, sf):
 
 @query
 def importance_tree(spark, sf):
-    data, _, inputs = training_data(sales(spark, sf), stores(spark, sf))
+    data, _, inputs = training_data(stored_sales(spark, sf), stores(spark, sf))
     return train_all(data, ["random_forest"], SMALL, inputs).importances
 
 
@@ -412,7 +418,7 @@ def importance_table(spark, sf):
 
 @query
 def train_all_query(spark, sf):
-    data, _, inputs = training_data(sales(spark, sf), stores(spark, sf))
+    data, _, inputs = training_data(stored_sales(spark, sf), stores(spark, sf))
     return train_all(data, params=SMALL, features=inputs).scores
 
 
@@ -481,7 +487,7 @@ QUERIES["evaluation_report"] = QUERIES.pop("evaluation_report_query")
 
 @query
 def score_horizon_query(spark, sf):
-    data, fitted, _ = training_data(sales(spark, sf), stores(spark, sf))
+    data, fitted, _ = training_data(stored_sales(spark, sf), stores(spark, sf))
     scored = score_horizon(horizon(spark, sf), stores(spark, sf), fitted, linear_fit(data))
     return rounded(scored.select("id", "open", "yhat"), 3)
 
@@ -490,7 +496,7 @@ QUERIES["score_horizon"] = QUERIES.pop("score_horizon_query")
 
 
 def _baseline_horizon(spark, sf):
-    data = with_side(clean.clean(sales(spark, sf)))
+    data = with_side(clean.clean(stored_sales(spark, sf)))
     model = fit_mean_baseline(data.where(F.col("split") == splits.TRAIN))
     return forecast.zero_closed(model.predict(clean.fill_open(horizon(spark, sf))))
 
@@ -533,7 +539,7 @@ def residual_hist(spark, sf):
 
 @query
 def sales_hist(spark, sf):
-    return rounded(diagnostics.sales_histogram(*splits.time_split(clean.clean(sales(spark, sf)))))
+    return rounded(diagnostics.sales_histogram(*splits.time_split(clean.clean(stored_sales(spark, sf)))))
 
 
 @query
@@ -558,7 +564,7 @@ def model_scores_normalized(spark, sf):
 
 @query
 def training_time(spark, sf):
-    data, _, inputs = training_data(sales(spark, sf), stores(spark, sf))
+    data, _, inputs = training_data(stored_sales(spark, sf), stores(spark, sf))
     return train_all(data, ["linear_regression", "random_forest"], SMALL, inputs).runs
 
 
@@ -569,7 +575,7 @@ def training_time(spark, sf):
 def pipeline(spark, sf):
     """Report of a full run with two models, and the totals of its forecast."""
     result = forecast_sales(
-        sales(spark, sf), stores(spark, sf), horizon(spark, sf),
+        stored_sales(spark, sf), stores(spark, sf), horizon(spark, sf),
         model_names=["linear_regression", "random_forest"], params=SMALL,
     )
     totals = result.forecast.agg(F.count(F.lit(1)).cast("double").alias("rows"), F.sum("sales").alias("sales"))

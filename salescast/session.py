@@ -7,6 +7,7 @@ import shutil
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -42,6 +43,16 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+ARROW_TYPES = {"string": pa.string(), "int": pa.int32(), "bigint": pa.int64(), "double": pa.float64()}
+
+
+def small_table(spark: SparkSession, rows: list[tuple], /, **types: str) -> DataFrame:
+    """A table of a few driver rows. Made from Arrow it is part of the plan; no Python worker produces it."""
+    columns = zip(*rows) if rows else [()] * len(types)
+    arrays = {name: pa.array(values, ARROW_TYPES[types[name]]) for name, values in zip(types, columns)}
+    return spark.createDataFrame(pa.table(arrays))
+
+
 def _run_folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark).rstrip('/')}/salescast-{spark.sparkContext.applicationId}"
 
