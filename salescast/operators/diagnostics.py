@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salescast.operators.split import TRAIN, VALIDATION
-from salescast.session import small_table
+from salescast.session import materialize, small_table
 
 
 def residuals(df: DataFrame, y: str = "y", yhat: str = "yhat") -> DataFrame:
@@ -61,15 +61,16 @@ def sales_histogram(train: DataFrame, validation: DataFrame | None = None, bins:
 def prediction_sample(df: DataFrame, size: int = 5000, seed: int = 42) -> DataFrame:
     """Exactly ``size`` rows without replacement, or all rows if there are no more than that.
 
-    Rows with the smallest random keys are taken. A first cut on the key leaves slightly more than ``size``
-    rows, so the sort stays small; in the all but impossible case that the cut leaves too few, it is dropped.
+    Rows with the smallest random keys are taken. A cut on the key first leaves slightly more than ``size``
+    rows, so that only these are sorted; should the cut leave too few, all rows are sorted instead.
     """
     rows = df.count()
     if rows <= size:
         return df
     keyed = df.withColumn("_key", F.rand(seed))
-    cut = keyed.where(F.col("_key") < (size + 10 * sqrt(size) + 100) / rows)
-    pool = cut if cut.count() >= size else keyed
+    pool = materialize(keyed.where(F.col("_key") < (size + 10 * sqrt(size) + 100) / rows), "sample")
+    if pool.count() < size:
+        pool = keyed
     return pool.orderBy("_key").limit(size).drop("_key")
 
 

@@ -191,8 +191,11 @@ def test_large_label_sets_are_numbered_the_same(spark, monkeypatch):
     df = spark.createDataFrame(rows, "store_type string, assortment string")
     local = sorted(encode.fit_labels(df, ["store_type", "assortment"]).table.collect())
     monkeypatch.setattr(encode, "LOCAL_LABELS", 10)
-    assert sorted(encode.fit_labels(df, ["store_type", "assortment"]).table.collect()) == local
-    assert len(local) == 402
+    labels = encode.fit_labels(df, ["store_type", "assortment"])
+    assert sorted(labels.table.collect()) == local and len(local) == 402
+    codes = {(r.column, r.label): r.code for r in local}
+    expected = sorted((codes["store_type", s], codes["assortment", a or "nan"]) for s, a in rows)
+    assert sorted(encode.encode_labels(df, labels).collect()) == expected
 
 
 @quick
