@@ -171,7 +171,50 @@ from (select *, avg(y) filter (y > 0) over (partition by model, split) as mean_y
 group by model, split"""
 
 
+def _moments() -> str:
+    """The correlation matrix of all features, with the target as last column; constant features have zeros."""
+
+    def correlation(a: str, b: str) -> str:
+        return f"coalesce({_covariance(a, b)} / nullif(stddev_pop({a}) * stddev_pop({b}), 0), 0)"
+
+    rows = [f"[{', '.join(correlation(a, b) for b in [*FEATURES, 'sales'])}]" for a in FEATURES]
+    spreads = ", ".join(f"stddev_pop({f})" for f in FEATURES)
+    means = ", ".join(f"avg({f})" for f in FEATURES)
+    return f"""
+select [{', '.join(rows)}] as m, [{spreads}] as sd, [{means}] as mu, stddev_pop(sales) as sd_y, avg(sales) as mu_y
+from features_split where split = 'train'"""
+
+
+# Gauss-Jordan elimination, one recursion step per feature; a zero pivot leaves its feature out.
+ELIMINATION = f"""
+with recursive steps as (
+  select 1 as k, m from moments
+  union all
+  select k + 1, list_transform(m, lambda r, i: case when abs(m[k][k]) < 1e-9 then r
+      when i = k then list_transform(r, lambda v: v / m[k][k])
+      else list_transform(r, lambda v, j: v - r[k] * m[k][j] / m[k][k]) end)
+  from steps where k <= {len(FEATURES)})
+select list_transform(s.m, lambda r, i: case when t.m[i][i] < 1e-9 then 0
+    else r[{len(FEATURES) + 1}] * t.sd_y / t.sd[i] end) as w, t.mu, t.mu_y
+from steps s cross join moments t where s.k = {len(FEATURES) + 1}"""
+
+
+def _predicted_full(alias: str) -> str:
+    terms = " + ".join(f"w[{i}] * ({alias}.{f} - mu[{i}])" for i, f in enumerate(FEATURES, 1))
+    return f"greatest(mu_y + {terms}, 0)"
+
+
 TABLES |= {
+    "moments": _moments(),
+    "full_line": ELIMINATION,
+    "predictions_full": f"""
+select 'LinearRegression' as model, split, cast(f.sales as double) as y, {_predicted_full('f')} as yhat
+from features_split f cross join full_line""",
+    "scores_full": _metrics("predictions_full"),
+    "coefficients": " union all ".join(
+        f"\nselect '{f}' as feature, abs(w[{i}]) as importance from full_line" for i, f in enumerate(FEATURES, 1)
+    ),
+    "top10_full": "select * from coefficients order by importance desc, feature limit 10",
     "scores": _metrics("predictions"),
     "scores3": _metrics("predictions3"),
     "importances": " union all ".join(
@@ -234,26 +277,26 @@ COLUMNS_BY_TYPE = {
 }
 
 
-def _report() -> str:
+def _report(scores: str, top: str, extra: str = "") -> str:
     pairs = [(m, side) for m in ("rmspe", "rmse", "mape", "r2") for side in ("train", "validation")]
     comparison = " union all ".join(
         f"select 'comparison' as section, rank, s.model as item,"
         f" '{'train' if side == 'train' else 'val'}_{m}' as metric, {m} as value"
-        f" from scores3 s join ranks using (model) where split = '{side}'"
+        f" from {scores} s join ranks using (model) where split = '{side}'"
         for m, side in pairs
     )
     best = " union all ".join(
-        f"select 'best_model', {i + 1}, model, '{m}', {m} from scores3 join ranks using (model)"
+        f"select 'best_model', {i + 1}, model, '{m}', {m} from {scores} join ranks using (model)"
         f" where rank = 1 and split = 'validation'"
         for i, m in enumerate(METRICS)
     )
     return f"""
-select section, cast(rank as int) as rank, item, metric, round(value, 5) as value from (
-  with ranks as (select model, row_number() over (order by rmspe, model) as rank from scores3
+select section, cast(rank as int) as rank, item, metric, round(value, {{digits}}) as value from (
+  with ranks as (select model, row_number() over (order by rmspe, model) as rank from {scores}
                  where split = 'validation')
   {comparison} union all {best} union all
   select 'importance', row_number() over (order by importance desc, feature), feature, 'share_pct',
-    100 * importance / (select sum(importance) from top10) from top10) r"""
+    100 * importance / (select sum(importance) from {top}) from {top} {extra}) r"""
 
 
 def _categories() -> str:
@@ -383,7 +426,15 @@ select feature, {_round('importance')},
   round(100 * importance / (select sum(importance) from top10), 6) as share_pct,
   round(100 * importance / (select sum(importance) from importances), 6) as share_of_all_pct
 from top10""",
-    "evaluation_report": _report(),
+    "evaluation_report": _report("scores3", "top10").format(digits=5),
+    "linear_model_all_features": f"select model, split, {_round(' '.join(METRICS), 4)} from scores_full",
+    "pipeline_linear": _report(
+        "scores_full",
+        "top10_full",
+        f"""union all select 'forecast', 1, 'LinearRegression', metric, value from (
+  unpivot (select cast(count(*) as double) as rows, sum(case when open = 0 then 0 else {_predicted_full('h')} end)
+           as sales from features_horizon h cross join full_line) on rows, sales into name metric value value) u""",
+    ).format(digits=3),
     "score_horizon": f"""
 select id, open, round(case when open = 0 then 0 else {_predicted_line('h')} end, 3) as yhat
 from features_horizon h cross join line""",

@@ -369,7 +369,7 @@ def linear_model(spark, sf):
 
 def _scored_model(spark, sf, name: str) -> DataFrame:
     data, _, inputs = training_data(stored_sales(spark, sf), stores(spark, sf))
-    return rounded(train_all(data, [name], SMALL, inputs).scores)
+    return rounded(train_all(data, [name], SMALL, inputs).scores, 4)
 
 
 @query
@@ -571,16 +571,24 @@ def training_time(spark, sf):
 # End to end -----------------------------------------------------------------------------------------------
 
 
-@query
-def pipeline(spark, sf):
-    """Report of a full run with two models, and the totals of its forecast."""
+def _run(spark, sf, names: list[str]) -> DataFrame:
+    """Report of a full run, and the totals of its forecast."""
     result = forecast_sales(
-        stored_sales(spark, sf), stores(spark, sf), horizon(spark, sf),
-        model_names=["linear_regression", "random_forest"], params=SMALL,
+        stored_sales(spark, sf), stores(spark, sf), horizon(spark, sf), model_names=names, params=SMALL
     )
     totals = result.forecast.agg(F.count(F.lit(1)).cast("double").alias("rows"), F.sum("sales").alias("sales"))
     forecasted = totals.unpivot([], ["rows", "sales"], "metric", "value").select(
         F.lit("forecast").alias("section"), F.lit(1).alias("rank"), F.lit(result.trained.best).alias("item"),
         "metric", "value",
     )
-    return result.report.unionByName(forecasted)
+    return rounded(result.report.unionByName(forecasted), 3)
+
+
+@query
+def pipeline(spark, sf):
+    return _run(spark, sf, ["linear_regression", "random_forest"])
+
+
+@query
+def pipeline_linear(spark, sf):
+    return _run(spark, sf, ["linear_regression"])

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import shutil
 import tempfile
 import uuid
 
 import pyarrow as pa
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -58,14 +60,30 @@ def _run_folder(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unused path in this application's part of the shared folder."""
-    return f"{_run_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new, unused path in this application's part of the shared folder, deleted when the driver ends."""
+    folder = _run_folder(spark)
+    if folder not in _delete_at_exit:
+        _delete_at_exit.add(folder)
+        atexit.register(_delete_quietly, spark, spark._jsc.hadoopConfiguration(), folder)
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
+_delete_at_exit: set[str] = set()
+
+
+def _delete(spark: SparkSession, settings, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(settings).delete(path, True)
+
+
+def _delete_quietly(*args) -> None:
+    with contextlib.suppress(Py4JError, OSError):  # the JVM may be gone already
+        _delete(*args)
 
 
 def release(spark: SparkSession) -> None:
-    """Delete the intermediate tables of this application, once nothing reads them any more."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(_run_folder(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    """Delete the intermediate tables of this application now; nothing may read them any more."""
+    _delete(spark, spark._jsc.hadoopConfiguration(), _run_folder(spark))
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
