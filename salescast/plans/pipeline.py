@@ -40,13 +40,13 @@ class Result:
 
 
 def training_data(
-    sales: DataFrame, stores: DataFrame, validation_weeks: int | None = 6
+    sales: DataFrame, stores: DataFrame, validation_weeks: int | None = 6, required: list[str] | None = None
 ) -> tuple[DataFrame, Fitted, list[str]]:
     """Features, target and split of all usable sales rows, written once to the shared folder.
 
     Every model scans this narrow table, not the raw input. Rows without a date are on neither side.
     """
-    processed, fitted = preprocess_train(sales, stores)
+    processed, fitted = preprocess_train(sales, stores, required)
     features = available_features(processed)
     split = with_split(processed, fitted.split_date(validation_weeks)).where(F.col("split").isNotNull())
     return materialize(feature_matrix(split, features, keep=("split",)), "features"), fitted, features
@@ -65,9 +65,10 @@ def forecast_sales(
     model_names: list[str] | None = None,
     params: dict[str, dict[str, Any]] | None = None,
     output_dir: str | None = None,
+    required: list[str] | None = None,
 ) -> Result:
     """Train and compare the models; with ``horizon``, forecast it by the best one."""
-    data, fitted, features = training_data(sales, stores, validation_weeks)
+    data, fitted, features = training_data(sales, stores, validation_weeks, required)
     trained = train_all(data, model_names, params, features, output_dir)
     report = evaluation_report(trained.scores, trained.importances)
     forecast = None
@@ -102,9 +103,10 @@ def run_pipeline(
     """Run on a folder of CSV files and write models, report and forecast below ``output_dir``."""
     sales = readers.read_sales(spark, f"{data_dir}/{readers.SALES_FILE}")
     stores = readers.read_store(spark, f"{data_dir}/{readers.STORE_FILE}")
-    readers.check_required(sales, schemas.REQUIRED_SALES)
     horizon = _horizon_or_none(spark, data_dir) if generate_forecast else None
-    result = forecast_sales(sales, stores, horizon, validation_weeks, model_names, params, output_dir)
+    result = forecast_sales(
+        sales, stores, horizon, validation_weeks, model_names, params, output_dir, schemas.REQUIRED_SALES
+    )
     write_report(result.report, f"{output_dir}/evaluation_report")
     if result.forecast is not None:
         write_forecast(result.forecast, f"{output_dir}/forecast", expected_rows=horizon.count())

@@ -15,6 +15,7 @@ from salescast.operators.features import add_competition_features, add_date_feat
 from salescast.operators.impute import exact_median, impute
 from salescast.operators.split import cut_date
 from salescast.session import materialize
+from salescast.sources.readers import watch_required
 
 
 @dataclass(frozen=True)
@@ -32,18 +33,21 @@ class Fitted:
         return cut_date(self.first_date, self.last_date, validation_weeks, train_ratio)
 
 
-def fit(sales: DataFrame, stores: DataFrame) -> Fitted:
+def fit(sales: DataFrame, stores: DataFrame, required: list[str] | None = None) -> Fitted:
     """Median distance, label codes and date range of the cleaned training rows, in one scan of the sales.
 
     They depend on a row only through its store, holiday kind and date, so sales are reduced to one row per
-    store and holiday kind before the join; the wide fact table is neither joined nor shuffled.
+    store and holiday kind before the join; the wide fact table is neither joined nor shuffled. The same scan
+    raises if one of the ``required`` columns has missing values, also in rows that cleaning removes.
     """
+    watched, check = watch_required(sales, required) if required else (sales, lambda: None)
     reduced = (
-        clean(sales)
+        clean(watched)
         .groupBy("store", "state_holiday")
         .agg(F.count(F.lit(1)).alias("n"), F.min("sale_date").alias("first"), F.max("sale_date").alias("last"))
     )
     profile = materialize(enrich_store(reduced, stores), "profile")
+    check()
     first, last = profile.agg(F.min("first"), F.max("last")).first()
     return Fitted(_median_distance(profile), fit_labels(profile), first, last)
 
@@ -68,9 +72,11 @@ def transform(
     )
 
 
-def preprocess_train(sales: DataFrame, stores: DataFrame) -> tuple[DataFrame, Fitted]:
+def preprocess_train(
+    sales: DataFrame, stores: DataFrame, required: list[str] | None = None
+) -> tuple[DataFrame, Fitted]:
     """The training features and what was learnt from them."""
-    fitted = fit(sales, stores)
+    fitted = fit(sales, stores, required)
     return transform(enrich_store(sales, stores), fitted.labels, True, fitted.distance_median), fitted
 
 

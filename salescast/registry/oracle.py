@@ -432,8 +432,8 @@ from top10""",
         "scores_full",
         "top10_full",
         f"""union all select 'forecast', 1, 'LinearRegression', metric, value from (
-  unpivot (select cast(count(*) as double) as rows, sum(case when open = 0 then 0 else {_predicted_full('h')} end)
-           as sales from features_horizon h cross join full_line) on rows, sales into name metric value value) u""",
+  unpivot (select cast(count(*) as double) as rows, round(sum(case when open = 0 then 0
+           else {_predicted_full('h')} end), 1) as sales from features_horizon h cross join full_line) on rows, sales into name metric value value) u""",
     ).format(digits=3),
     "score_horizon": f"""
 select id, open, round(case when open = 0 then 0 else {_predicted_line('h')} end, 3) as yhat

@@ -35,7 +35,8 @@ LINEAR_FEATURES = ["promo", "day_of_week", "promo2"]
 
 
 def query(function: Query) -> Query:
-    QUERIES[function.__name__] = function
+    """Register under the function's name; ``_query`` is dropped where it only avoids a clash with an import."""
+    QUERIES[function.__name__.removesuffix("_query")] = function
     return function
 
 
@@ -169,9 +170,6 @@ def enrich_store_query(spark, sf):
     )
 
 
-QUERIES["enrich_store"] = QUERIES.pop("enrich_store_query")
-
-
 @query
 def enriched_sales(spark, sf):
     return enriched(spark, sf)
@@ -343,18 +341,12 @@ def preprocess_train_query(spark, sf):
     return rounded(preprocess_train(stored_sales(spark, sf), stores(spark, sf))[0])
 
 
-QUERIES["preprocess_train"] = QUERIES.pop("preprocess_train_query")
-
-
 @query
 def preprocess_horizon_query(spark, sf):
     labels = preprocess_train(stored_sales(spark, sf), stores(spark, sf))[1]
     return rounded(preprocess_horizon(horizon(spark, sf), stores(spark, sf), labels))
 
 
-QUERIES["preprocess_horizon"] = QUERIES.pop("preprocess_horizon_query")
-
-
 # Models ---------------------------------------------------------------------------------------------------
 
 
@@ -422,9 +414,6 @@ def train_all_query(spark, sf):
     return train_all(data, params=SMALL, features=inputs).scores
 
 
-QUERIES["train_all"] = QUERIES.pop("train_all_query")
-
-
 @query
 def mean_baseline(spark, sf):
     return rounded(keyed(baseline_wide(spark, sf), "split", F.col("by_group").alias("yhat")))
@@ -479,9 +468,6 @@ def evaluation_report_query(spark, sf):
     return rounded(evaluation_report(three_models_scores(data), importances), 5)
 
 
-QUERIES["evaluation_report"] = QUERIES.pop("evaluation_report_query")
-
-
 # Forecast -------------------------------------------------------------------------------------------------
 
 
@@ -492,9 +478,6 @@ def score_horizon_query(spark, sf):
     return rounded(scored.select("id", "open", "yhat"), 3)
 
 
-QUERIES["score_horizon"] = QUERIES.pop("score_horizon_query")
-
-
 def _baseline_horizon(spark, sf):
     data = with_side(clean.clean(stored_sales(spark, sf)))
     model = fit_mean_baseline(data.where(F.col("split") == splits.TRAIN))
@@ -576,7 +559,7 @@ def _run(spark, sf, names: list[str]) -> DataFrame:
     result = forecast_sales(
         stored_sales(spark, sf), stores(spark, sf), horizon(spark, sf), model_names=names, params=SMALL
     )
-    totals = result.forecast.agg(F.count(F.lit(1)).cast("double").alias("rows"), F.sum("sales").alias("sales"))
+    totals = result.forecast.agg(F.count(F.lit(1)).cast("double").alias("rows"), F.round(F.sum("sales"), 1).alias("sales"))
     forecasted = totals.unpivot([], ["rows", "sales"], "metric", "value").select(
         F.lit("forecast").alias("section"), F.lit(1).alias("rank"), F.lit(result.trained.best).alias("item"),
         "metric", "value",

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -93,8 +94,19 @@ def required_nulls(df: DataFrame, columns: list[str]) -> DataFrame:
     return null_counts(df.select(*columns))
 
 
-def check_required(df: DataFrame, columns: list[str]) -> None:
-    """Raise if a required column has missing values."""
-    bad = required_nulls(df, columns).where("missing > 0").collect()
+def _raise_if_missing(counts: dict[str, int]) -> None:
+    bad = [f"{column} ({n})" for column, n in counts.items() if n]
     if bad:
-        raise ValueError("missing values in required columns: " + ", ".join(f"{r.column} ({r.missing})" for r in bad))
+        raise ValueError("missing values in required columns: " + ", ".join(bad))
+
+
+def check_required(df: DataFrame, columns: list[str]) -> None:
+    """Raise if a required column has missing values; a scan of its own."""
+    _raise_if_missing({r.column: r.missing for r in required_nulls(df, columns).collect()})
+
+
+def watch_required(df: DataFrame, columns: list[str]) -> tuple[DataFrame, Callable[[], None]]:
+    """The same check within a scan that is made anyway: call the second result after an action on the first."""
+    seen = Observation()
+    watched = df.observe(seen, *[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
+    return watched, lambda: _raise_if_missing(seen.get)

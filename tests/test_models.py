@@ -117,6 +117,8 @@ def test_run_pipeline(spark, csv_dir, tmp_path):
     assert result.trained.best in {"RandomForest", "BoostedDeep"}
     val = {r.model: r.rmspe for r in result.trained.scores.where("split = 'validation'").collect()}
     assert val["LinearRegression"] > val["RandomForest"]
+    assert result.trained.comparison().first().model == result.trained.best
+    assert result.trained.top_features(n=3).count() == 3 and result.trained.top_features("absent").count() == 0
     sections = {r.section for r in result.report.select("section").distinct().collect()}
     assert sections == {"comparison", "best_model", "importance"}
     forecast = spark.read.schema("Id bigint, Sales double").option("header", True).csv(str(tmp_path / "forecast"))
@@ -140,6 +142,15 @@ def test_pipeline_without_horizon_file(spark, csv_dir, tmp_path):
         pipeline.run_pipeline(spark, str(tmp_path / "absent"))
 
 
+def test_missing_required_values_stop_the_run(spark, sf_dir):
+    sales, stores = derived.sales_table(spark, sf_dir), derived.store_table(spark, sf_dir)
+    bad = sales.withColumn("customers", F.when(F.col("open") == 1, F.col("customers")))
+    closed = sales.where("open = 0").count()
+    with pytest.raises(ValueError, match=rf"customers \({closed}\)"):
+        preprocess_train(bad, stores, ["store", "customers"])
+    preprocess_train(sales, stores, ["store", "customers"])
+
+
 def test_linear_fit_matches_numpy(spark, sf_dir):
     data, _, inputs = pipeline.training_data(derived.sales_table(spark, sf_dir), derived.store_table(spark, sf_dir))
     train = data.where("split = 'train'")
