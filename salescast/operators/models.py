@@ -9,7 +9,7 @@ from __future__ import annotations
 from typing import Any
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import VarianceThresholdSelector, VectorAssembler
+from pyspark.ml.feature import VectorAssembler, VectorSlicer
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +18,8 @@ from salescast.functions.stores import floor_at_zero
 from salescast.session import shared_folder, small_table
 from salescast.sources.schemas import FEATURES, TARGET
 
+VECTOR = "features"
+
 # Default size of each model. A leaf of five rows implies that a split needs ten.
 DEFAULTS: dict[str, dict[str, Any]] = {
     "linear_regression": {"regParam": 0.0, "fitIntercept": True, "tol": 1e-12, "maxIter": 1000},
@@ -57,6 +59,12 @@ SMALL: dict[str, dict[str, Any]] = {
 }
 
 
+def _varying(df: DataFrame, features: list[str]) -> list[int]:
+    """Positions of the features that have more than one value, from one aggregation."""
+    row = df.agg(*[(F.min(f) < F.max(f)).alias(f"_{i}") for i, f in enumerate(features)]).first()
+    return [i for i in range(len(features)) if row[i]]
+
+
 class SalesModel:
     """A regressor with its feature list; predictions never fall below zero."""
 
@@ -90,24 +98,31 @@ class SalesModel:
         """Fit on the feature columns of ``train``; a missing feature value raises."""
         if "checkpointInterval" in self.params:
             shared_folder(train.sparkSession)
-        stages = [VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="error")]
+        stages = [VectorAssembler(inputCols=list(features), outputCol=VECTOR, handleInvalid="error")]
         if self.kind == "linear_regression":
             # A constant feature makes the normal equations singular; without it they are solved exactly.
-            stages.append(VarianceThresholdSelector(featuresCol="features", outputCol="varying"))
+            kept = _varying(train, features) or [0]
+            stages.append(VectorSlicer(inputCol=VECTOR, outputCol="varying", indices=kept))
         estimator = ESTIMATORS[self.kind](
             featuresCol=stages[-1].getOutputCol(), labelCol=target, predictionCol="prediction", **self.params
         )
         self.fitted = Pipeline(stages=[*stages, estimator]).fit(train.select(*features, target))
         return self
 
+    def assemble(self, df: DataFrame) -> DataFrame:
+        """Adds the feature vector, unless ``df`` has it already."""
+        return df if VECTOR in df.columns else self._require_fit().stages[0].transform(df)
+
     def predict(self, df: DataFrame, output: str = "yhat") -> DataFrame:
         """Adds the prediction, floored at zero, and keeps every row."""
-        scored = self._require_fit().transform(df)
+        scored = self.assemble(df)
+        for stage in self._require_fit().stages[1:]:
+            scored = stage.transform(scored)
         return scored.select(*df.columns, floor_at_zero(F.col("prediction")).cast("double").alias(output))
 
     def coefficients(self) -> list[float]:
         """Coefficients of a linear model, one per feature; constant features have 0."""
-        selected = self._require_fit().stages[1].selectedFeatures
+        selected = self._require_fit().stages[1].getIndices()
         known = dict(zip(selected, self.regressor.coefficients.toArray()))
         return [float(known.get(i, 0.0)) for i in range(len(self.features))]
 

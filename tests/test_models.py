@@ -46,6 +46,13 @@ def test_linear_model_is_least_squares(spark):
     assert model.importance(spark, ["a", "b", "c"]).first().feature == "a"
 
 
+def test_constant_features_predict_the_mean(spark):
+    df = spark.createDataFrame([(2.0, 7.0, 1.0), (2.0, 7.0, 3.0)], "a double, b double, sales double")
+    model = create_model("linear_regression").fit(df, ["a", "b"])
+    assert model.coefficients() == pytest.approx([0, 0], abs=1e-9)
+    assert [r.yhat for r in model.predict(df).collect()] == pytest.approx([2, 2])
+
+
 def test_predictions_are_floored_and_need_a_fit(spark):
     df = table(spark)
     model = SalesModel("linear_regression")
