@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from salescast.session import materialize, small_table
@@ -38,13 +38,13 @@ def _distinct_labels(df: DataFrame, columns: list[str]) -> DataFrame:
     return combinations.unpivot([], columns, "column", "label").distinct()
 
 
-def _number_locally(labels: DataFrame, rows: list) -> DataFrame:
+def _number_locally(spark: SparkSession, rows: list) -> DataFrame:
     codes: dict[str, int] = {}
     numbered = []
     for column, label in sorted(rows):
         codes[column] = codes.get(column, -1) + 1
         numbered.append((column, label, codes[column]))
-    return F.broadcast(small_table(labels.sparkSession, numbered, column="string", label="string", code="int"))
+    return F.broadcast(small_table(spark, numbered, column="string", label="string", code="int"))
 
 
 def _number_distributed(labels: DataFrame) -> DataFrame:
@@ -69,10 +69,12 @@ def _number_distributed(labels: DataFrame) -> DataFrame:
 def fit_labels(df: DataFrame, columns: list[str] = CATEGORICAL) -> LabelMap:
     """Codes 0..k-1 for the sorted distinct labels of each column; missing values are the label ``nan``."""
     present = [c for c in columns if c in df.columns]
+    if not present:
+        return LabelMap((), _number_locally(df.sparkSession, []))
     labels = _distinct_labels(df, present)
     rows = labels.limit(LOCAL_LABELS + 1).collect()
     small = len(rows) <= LOCAL_LABELS
-    table = _number_locally(labels, rows) if small else _number_distributed(materialize(labels, "labels"))
+    table = _number_locally(df.sparkSession, rows) if small else _number_distributed(materialize(labels, "labels"))
     return LabelMap(tuple(present), table)
 
 

@@ -186,6 +186,13 @@ def test_unseen_and_missing_labels(spark, caplog):
     assert "store_type" in caplog.text
 
 
+def test_without_categories_nothing_is_encoded(spark):
+    df = spark.createDataFrame([(1,)], "store int")
+    labels = encode.fit_labels(df)
+    assert labels.columns == () and labels.table.count() == 0
+    assert encode.encode_labels(df, labels).collect() == [(1,)]
+
+
 def test_large_label_sets_are_numbered_the_same(spark, monkeypatch):
     rows = [(f"{(i * 7919) % 400:03d}", "x" if i % 3 else None) for i in range(1200)]
     df = spark.createDataFrame(rows, "store_type string, assortment string")
