@@ -568,7 +568,7 @@ def _run(spark, sf, names: list[str]) -> DataFrame:
 
 
 @query
-def pipeline(spark, sf):
+def forecast_pipeline(spark, sf):
     return _run(spark, sf, ["linear_regression", "random_forest"])
 
 
