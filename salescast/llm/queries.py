@@ -2,24 +2,45 @@
 
 from __future__ import annotations
 
+import base64
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salescast.llm.decontamination import contamination
+from salescast.llm.lm import lattice_scores
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def byte_ranks(path: str | None = None) -> dict[bytes, int]:
+    """The byte-level vocabulary of a rank file; by default the public one for many languages."""
+    if path is None:
+        import public_tokenizers
+
+        path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    with open(path, "rb") as lines:
+        return {base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, lines)}
+
+
+def remainder(n: int) -> Column:
+    return F.crc32(F.col("doc_id").cast("string")) % n
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items",
                         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
 
 
+def op9_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice_scores(table(spark, sf_dir, "documents"), byte_ranks(), remainder(7) == 2)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontamination": op3_decontamination,
+    "op9_lattice_lm": op9_lattice_lm,
 }
