@@ -27,7 +27,7 @@ from salescast.llm.text import SPACED, Words, runs
 from salescast.session import materialize
 
 #: Text bytes of a block; a larger one has fewer words in common with others.
-BLOCK = 16 << 20
+BLOCK = 8 << 20
 
 BLOCKS = ("block bigint, ids array<bigint>, held_out array<boolean>, first binary, seen bigint, numbers binary,"
           " words array<struct<word: binary, n: bigint>>")
