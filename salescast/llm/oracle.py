@@ -24,4 +24,18 @@ select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, c
 from d left join covered using (r) left join items using (r)
 """
 
-ORACLE: dict[str, str] = {"op3_decontamination": OP3}
+OP2 = f"""
+with recursive d as (select row_number() over () as r, doc_id, {SPACED_WORDS} as w from documents),
+sets as (select r, doc_id, case when len(w) = 0 then [] when len(w) < 5 then [w]
+  else list_distinct(list_transform(generate_series(1, len(w) - 4), lambda k: list_slice(w, k, k + 4))) end as s from d),
+shingles as (select r, unnest(s) as g from sets),
+pairs as (select x.r as a, y.r as b, count(*) as n from shingles x join shingles y on x.g = y.g and x.r <> y.r group by 1, 2),
+links as (select a, b from pairs join sets x on x.r = a join sets y on y.r = b
+  where 100 * n >= 85 * (len(x.s) + len(y.s) - n)),
+walk as (select r, r as to_r from sets union select walk.r, links.b from walk join links on links.a = walk.to_r),
+least as (select walk.r, min(sets.doc_id) as component_id from walk join sets on sets.r = walk.to_r group by 1)
+select doc_id, len(s)::bigint as n_shingles, component_id, coalesce(doc_id = component_id, false) as kept
+from sets join least using (r)
+"""
+
+ORACLE: dict[str, str] = {"op2_near_dedup": OP2, "op3_decontamination": OP3}

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from salescast.llm.decontamination import contamination
 from salescast.llm.lm import lattice_scores
+from salescast.llm.near_dedup import near_duplicates
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +31,10 @@ def remainder(n: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string")) % n
 
 
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items",
@@ -41,6 +46,7 @@ def op9_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_near_dedup": op2_near_dedup,
     "op3_decontamination": op3_decontamination,
     "op9_lattice_lm": op9_lattice_lm,
 }
