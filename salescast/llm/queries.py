@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from salescast.llm.decontamination import contamination
 from salescast.llm.lm import lattice_scores
 from salescast.llm.near_dedup import near_duplicates
+from salescast.llm.toxicity import toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +32,14 @@ def remainder(n: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string")) % n
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(remainder(5) == 0, F.lit(False))
+    found = toxicity(documents, table(spark, sf_dir, "labels"), ~held_out)
+    return found.select("doc_id", held_out.alias("held_out"), F.col("toxicity").alias("score"),
+                        (F.col("toxicity") >= 0.5).cast("int").alias("predicted"))
+
+
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -46,6 +55,7 @@ def op9_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op2_near_dedup": op2_near_dedup,
     "op3_decontamination": op3_decontamination,
     "op9_lattice_lm": op9_lattice_lm,
