@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from salescast.llm.bpe import decoder, encode
 from salescast.llm.decontamination import contamination
 from salescast.llm.lm import lattice_scores
 from salescast.llm.near_dedup import near_duplicates
@@ -50,6 +51,17 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
 
 
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = byte_ranks()
+    found = encode(table(spark, sf_dir, "documents").select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
+    return found.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2(decoder(ranks, spark)("ids"), 256).alias("decoded_sha256"))
+
+
 def op9_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice_scores(table(spark, sf_dir, "documents"), byte_ranks(), remainder(7) == 2)
 
@@ -58,5 +70,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_near_dedup": op2_near_dedup,
     "op3_decontamination": op3_decontamination,
+    "op6_byte_bpe": op6_byte_bpe,
     "op9_lattice_lm": op9_lattice_lm,
 }
