@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from salescast.llm.bpe import decoder, encode
 from salescast.llm.decontamination import contamination
+from salescast.llm.licenses import scan_licences
 from salescast.llm.lm import lattice_scores
 from salescast.llm.near_dedup import near_duplicates
+from salescast.llm.secret_scan import BASE, secret_spans
 from salescast.llm.toxicity import toxicity
 
 
@@ -51,6 +53,13 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_licences(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", *(f"licences.{c}" for c in ("n_words", "n_base", "first_word", "last_word")),
+                        F.concat_ws(",", "licences.base_labels").alias("base_labels"),
+                        F.concat_ws(",", "licences.labels").alias("labels"), "licences.score")
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -62,6 +71,15 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(decoder(ranks, spark)("ids"), 256).alias("decoded_sha256"))
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    joined = lambda spans: F.concat_ws(",", F.transform(
+        spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))
+    counts = [F.size(F.filter("spans", lambda s, kind=kind: s["kind"] == kind)).cast("long").alias(f"n_{kind}") for kind in BASE]
+    base = joined(F.filter("spans", lambda s: s["kind"].isin(*BASE)))
+    return found.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
 def op9_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice_scores(table(spark, sf_dir, "documents"), byte_ranks(), remainder(7) == 2)
 
@@ -70,6 +88,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_near_dedup": op2_near_dedup,
     "op3_decontamination": op3_decontamination,
+    "op5_license_scan": op5_license_scan,
     "op6_byte_bpe": op6_byte_bpe,
+    "op7_secret_scan": op7_secret_scan,
     "op9_lattice_lm": op9_lattice_lm,
 }
