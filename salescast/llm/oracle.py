@@ -38,4 +38,16 @@ select doc_id, len(s)::bigint as n_shingles, component_id, coalesce(doc_id = com
 from sets join least using (r)
 """
 
-ORACLE: dict[str, str] = {"op2_near_dedup": OP2, "op3_decontamination": OP3}
+OP10 = """
+with d as (select doc_id, coalesce(strlen(text), 0)::bigint as bytes,
+  ('0x' || substr(md5('=' || doc_id::varchar), 1, 8))::bigint as h from documents),
+levels as (select unnest(generate_series(0, 32)) as k),
+nodes as (select k, h >> (32 - k) as p, sum(bytes) as n, count(*) as c from d, levels group by 1, 2),
+own as (select doc_id, bytes, h, min(k) as depth from d, levels join nodes using (k)
+  where nodes.p = h >> (32 - k) and (n <= 1048576 or c = 1) group by 1, 2, 3)
+select doc_id, own.bytes, right(lpad(bin(h >> (32 - depth)), 32, '0'), depth) as shard, depth::integer as depth,
+  n::bigint as shard_bytes from own join nodes on k = depth and p = h >> (32 - depth)
+"""
+
+ORACLE: dict[str, str] = {"op2_near_dedup": OP2, "op3_decontamination": OP3,
+                          "op10_extendible_shards": OP10}

@@ -13,7 +13,9 @@ from salescast.llm.decontamination import contamination
 from salescast.llm.licenses import scan_licences
 from salescast.llm.lm import lattice_scores
 from salescast.llm.near_dedup import near_duplicates
+from salescast.llm.quality import quality
 from salescast.llm.secret_scan import BASE, secret_spans
+from salescast.llm.sharding import shards
 from salescast.llm.toxicity import toxicity
 
 
@@ -80,10 +82,20 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+
+
 def op9_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice_scores(table(spark, sf_dir, "documents"), byte_ranks(), remainder(7) == 2)
 
 
+def op10_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents in shards of at most a mebibyte of text."""
+    found = shards(table(spark, sf_dir, "documents").select("doc_id", "text"), ["doc_id"], limit=1 << 20)
+    return found.select("doc_id", "bytes", "shard", "depth", "shard_bytes")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_near_dedup": op2_near_dedup,
@@ -91,5 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_license_scan": op5_license_scan,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_secret_scan": op7_secret_scan,
+    "op8_quality_rules": op8_quality_rules,
     "op9_lattice_lm": op9_lattice_lm,
+    "op10_extendible_shards": op10_extendible_shards,
 }
