@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from salescast.llm.bpe import decoder, encode
 from salescast.llm.decontamination import contamination
+from salescast.llm.html_text import extract
 from salescast.llm.licenses import scan_licences
 from salescast.llm.lm import lattice_scores
 from salescast.llm.near_dedup import near_duplicates
@@ -55,6 +56,10 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scan_licences(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", *(f"licences.{c}" for c in ("n_words", "n_base", "first_word", "last_word")),
@@ -100,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_near_dedup": op2_near_dedup,
     "op3_decontamination": op3_decontamination,
+    "op4_html_text": op4_html_text,
     "op5_license_scan": op5_license_scan,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_secret_scan": op7_secret_scan,

@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from salescast.llm.text import unused
+
 SCOPE = 200
 #: Kinds in the order of ties; the first three are the base.
 BASE = ("assign", "access", "hex")
@@ -115,15 +117,15 @@ def spans(text: str) -> list[tuple[str, int, int]]:
     return sorted(((kind, a, b) for kind, own in out.items() for a, b in own), key=lambda s: (s[1], order[s[0]], s[2]))
 
 
-def secret_spans(documents: DataFrame) -> DataFrame:
-    """``documents`` with the column ``spans``: kind, start and end of each secret, by start and then kind."""
+def secret_spans(documents: DataFrame, column: str = "spans") -> DataFrame:
+    """``documents`` with the column ``column``: kind, start and end of each secret, by start and then kind."""
 
     @F.arrow_udf("array<struct<kind: string, start: int, end: int>>")
-    def scan(column: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for texts in column:
+    def scan(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
             yield pa.array([[dict(zip(("kind", "start", "end"), s)) for s in spans(t.as_py() or "")] for t in texts], SPANS)
 
-    return documents.withColumn("spans", scan(F.col("text").cast("string")))
+    return documents.withColumn(column, scan(F.col("text").cast("string")))
 
 
 def redact(documents: DataFrame, mark: str = "[secret]") -> DataFrame:
@@ -141,8 +143,9 @@ def redact(documents: DataFrame, mark: str = "[secret]") -> DataFrame:
             out.append("".join(parts) + text[at:] if parts else text)
         return pa.array(out, pa.string())
 
-    found = secret_spans(documents)
-    hit = F.size("spans") > 0
-    text = F.when(hit, clean(F.col("text").cast("string"), F.col("spans"))).otherwise(F.col("text"))
-    return (found.withColumn("text", text)
-            .withColumn("n_chars", F.when(hit, F.length("text")).otherwise(F.col("n_chars"))).select(*documents.columns))
+    name = unused(documents, "spans")
+    found = secret_spans(documents, name)
+    hit = F.size(name) > 0
+    text = F.when(hit, clean(F.col("text").cast("string"), F.col(name))).otherwise(F.col("text"))
+    return (found.withColumn("text", text).withColumn("n_chars", F.when(hit, F.length("text")).otherwise(F.col("n_chars")))
+            .select(*documents.columns))

@@ -11,6 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A"): ord("Z") + 1] += 32
@@ -27,6 +28,14 @@ _LANE = np.array([(1 << (8 * n)) - 1 for n in range(8)] + [(1 << 64) - 1], dtype
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
+def unused(rows: DataFrame, name: str) -> str:
+    """A column name like ``name`` that ``rows`` does not have, in any case of letters."""
+    taken = {c.lower() for c in rows.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A well mixed 64-bit permutation of each value; works in place."""
     x ^= x >> np.uint64(30)

@@ -294,22 +294,23 @@ def train(documents: DataFrame, labels: DataFrame, allowed: Column, most: int =
     return model
 
 
-def toxicity(documents: DataFrame, labels: DataFrame, allowed: Column, most: int = SAMPLE) -> DataFrame:
-    """All columns of ``documents`` and ``toxicity``, the probability that the text is toxic.
+def toxicity(documents: DataFrame, labels: DataFrame, allowed: Column, most: int = SAMPLE,
+             column: str = "toxicity") -> DataFrame:
+    """All columns of ``documents`` and ``column``, the probability that the text is toxic.
 
     ``labels`` (doc_id, toxic) are used as far as ``allowed`` admits; language, source and id are no inputs of a score.
     """
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     model = train(texts, labels, allowed, most)
     if model is None:
-        return documents.withColumn("toxicity", F.lit(0.0))
+        return documents.withColumn(column, F.lit(0.0))
 
     @F.arrow_udf("double")
-    def score(column: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def score(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         marks = Landmarks(model.landmarks)
-        for batch in column:
+        for batch in texts:
             rows = pa.RecordBatch.from_arrays([batch], ["text"])
             value = [model.documents(part["text"], marks) for part in runs(rows, "text", 8 << 20)]
             yield pa.array(model.scores(np.concatenate(value or [np.zeros(0)])))
 
-    return documents.withColumn("toxicity", score(F.col("text").cast("string")))
+    return documents.withColumn(column, score(F.col("text").cast("string")))
