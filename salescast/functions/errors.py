@@ -25,6 +25,6 @@ def error_measures(y: str = "y", yhat: str = "yhat") -> dict[str, Column]:
 
 
 def no_missing_predictions(yhat: str = "yhat") -> Column:
-    """Aggregate that fails the query when a prediction is missing; true otherwise."""
-    missing = F.count_if(F.col(yhat).isNull())
+    """Aggregate that fails the query when a prediction is missing, null or NaN; true otherwise."""
+    missing = F.count_if(F.col(yhat).isNull() | F.isnan(yhat))
     return F.when(missing > 0, F.raise_error(F.lit("missing predictions"))).otherwise(F.lit(True))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from math import sqrt
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +32,7 @@ def histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
     """
     value = F.col(column).cast("double")
     known = df.where(value.isNotNull() & ~F.isnan(value)).select(value.alias("value"))
+    known = materialize(known, "values")  # the range and the counts read it
     low, high = known.agg(F.min("value"), F.max("value")).first()
     spark = df.sparkSession
     if low is None:
@@ -61,17 +60,9 @@ def sales_histogram(train: DataFrame, validation: DataFrame | None = None, bins:
 def prediction_sample(df: DataFrame, size: int = 5000, seed: int = 42) -> DataFrame:
     """Exactly ``size`` rows without replacement, or all rows if there are no more than that.
 
-    Rows with the smallest random keys are taken. A cut on the key first leaves slightly more than ``size``
-    rows, so that only these are sorted; should the cut leave too few, all rows are sorted instead.
+    Rows with the smallest random keys are taken: each task keeps its own ``size`` smallest, one merges them.
     """
-    rows = df.count()
-    if rows <= size:
-        return df
-    keyed = df.withColumn("_key", F.rand(seed))
-    pool = materialize(keyed.where(F.col("_key") < (size + 10 * sqrt(size) + 100) / rows), "sample")
-    if pool.count() < size:
-        pool = keyed
-    return pool.orderBy("_key").limit(size).drop("_key")
+    return df.withColumn("_key", F.rand(seed)).orderBy("_key").limit(size).drop("_key")
 
 
 def sample_bounds(sample: DataFrame, y: str = "y", yhat: str = "yhat") -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from salescast.session import materialize, small_table
@@ -16,8 +16,8 @@ log = logging.getLogger(__name__)
 MISSING = "nan"
 UNSEEN = -1
 
-# Mappings up to this many labels are numbered in place and broadcast; larger ones stay distributed.
-LOCAL_LABELS = 10_000
+# Copies of a mapping that a hot label is spread over if the mapping is too large to be broadcast.
+SALT = 16
 
 
 @dataclass(frozen=True)
@@ -38,16 +38,7 @@ def _distinct_labels(df: DataFrame, columns: list[str]) -> DataFrame:
     return combinations.unpivot([], columns, "column", "label").distinct()
 
 
-def _number_locally(spark: SparkSession, rows: list) -> DataFrame:
-    codes: dict[str, int] = {}
-    numbered = []
-    for column, label in sorted(rows):
-        codes[column] = codes.get(column, -1) + 1
-        numbered.append((column, label, codes[column]))
-    return F.broadcast(small_table(spark, numbered, column="string", label="string", code="int"))
-
-
-def _number_distributed(labels: DataFrame) -> DataFrame:
+def _number(labels: DataFrame) -> DataFrame:
     """Rank within each column from a global sort: position in the run plus the size of the earlier runs.
 
     A run is the part of a column that one sort task holds, so there are few of them.
@@ -70,16 +61,18 @@ def fit_labels(df: DataFrame, columns: list[str] = CATEGORICAL) -> LabelMap:
     """Codes 0..k-1 for the sorted distinct labels of each column; missing values are the label ``nan``."""
     present = [c for c in columns if c in df.columns]
     if not present:
-        return LabelMap((), _number_locally(df.sparkSession, []))
-    labels = _distinct_labels(df, present)
-    rows = labels.limit(LOCAL_LABELS + 1).collect()
-    small = len(rows) <= LOCAL_LABELS
-    table = _number_locally(df.sparkSession, rows) if small else _number_distributed(materialize(labels, "labels"))
-    return LabelMap(tuple(present), table)
+        return LabelMap((), small_table(df.sparkSession, [], column="string", label="string", code="int"))
+    return LabelMap(tuple(present), _number(_distinct_labels(df, present)))
 
 
 def encode_labels(df: DataFrame, labels: LabelMap, columns: list[str] = CATEGORICAL) -> DataFrame:
-    """Replaces values by their codes; unseen values become -1, columns without codes stay text."""
+    """Replaces values by their codes; unseen values become -1, columns without codes stay text.
+
+    The mapping has a row per label and salt, each once, so Catalyst drops the join of a column that is not used, and a
+    common label is dealt out where the mapping is too large for a broadcast.
+    """
+    df = df.withColumn("_row_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALT)))
+    salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALT - 1).cast("long")))
     for column in columns:
         if column not in df.columns:
             continue
@@ -87,8 +80,8 @@ def encode_labels(df: DataFrame, labels: LabelMap, columns: list[str] = CATEGORI
             log.warning("no codes for %s, left as text", column)
             continue
         codes = labels.table.where(F.col("column") == column).select(
-            F.col("label").alias("_label"), F.col("code").alias("_code")
-        )
-        joined = df.join(codes, as_label(column) == F.col("_label"), "left")
-        df = joined.withColumn(column, F.coalesce("_code", F.lit(UNSEEN))).drop("_label", "_code")
-    return df
+            F.col("label").alias("_label"), F.col("code"), salts.alias("_salt")
+        ).groupBy("_label", "_salt").agg(F.max("code").alias("_code"))
+        joined = df.join(codes, (as_label(column) == F.col("_label")) & (F.col("_row_salt") == F.col("_salt")), "left")
+        df = joined.withColumn(column, F.coalesce("_code", F.lit(UNSEEN))).drop("_label", "_salt", "_code")
+    return df.drop("_row_salt")

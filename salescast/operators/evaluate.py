@@ -82,18 +82,15 @@ def comparison_long(table: DataFrame, metric: str = "rmspe") -> DataFrame | None
 def model_scores_normalized(results: DataFrame) -> DataFrame:
     """(model, rmspe_score, r2_score, speed_score), higher is better, from (model, val_rmspe, val_r2, cost).
 
-    ``cost`` is the training time. The maxima come from a global aggregate over one row per model.
+    ``cost`` is the training time. The maxima are those of all models.
     """
-    top = results.agg(F.max("val_rmspe").alias("rmspe"), F.max("cost").alias("cost")).first()
-
-    def inverted(column: str, largest: float | None):
-        return 1 - F.try_divide(F.col(column), F.lit(largest).cast("double"))
-
-    return results.select(
+    # One row, joined to one row per model; the input is read within one plan.
+    top = results.agg(F.max("val_rmspe").alias("_rmspe"), F.max("cost").alias("_cost"))
+    return results.crossJoin(top).select(
         "model",
-        inverted("val_rmspe", top.rmspe).alias("rmspe_score"),
+        (1 - F.try_divide("val_rmspe", "_rmspe")).alias("rmspe_score"),
         F.col("val_r2").alias("r2_score"),
-        inverted("cost", top.cost).alias("speed_score"),
+        (1 - F.try_divide("cost", "_cost")).alias("speed_score"),
     )
 
 

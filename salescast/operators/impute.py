@@ -14,8 +14,8 @@ SINCE_COLUMNS = [
     "competition_open_since_month", "competition_open_since_year", "promo2_since_week", "promo2_since_year",
 ]
 
-# A histogram with up to this many distinct values is searched in place; a longer one is narrowed first.
-LOCAL_VALUES = 10_000
+# Ranges that a histogram is cut into at a time; it is read once it has no more values than that.
+PIECES = 256
 
 
 def _around(histogram: DataFrame, low: int, high: int, pieces: int) -> tuple[DataFrame, int]:
@@ -45,22 +45,16 @@ def exact_median(df: DataFrame, column: str, weight: str | None = None) -> float
         .groupBy(F.col(column).cast("double").alias("value"))
         .agg(count.cast("bigint").alias("n"))
     )
-    low = high = None
-    rows = histogram.limit(LOCAL_VALUES + 1).collect()
-    if len(rows) > LOCAL_VALUES:
-        histogram = materialize(histogram, "median")
-        total = histogram.agg(F.sum("n")).first()[0]
-        low, high = (total - 1) // 2, total // 2
-        while len(rows) > LOCAL_VALUES:
-            histogram, before = _around(histogram, low, high, pieces=64)
-            low, high = low - before, high - before
-            rows = histogram.limit(LOCAL_VALUES + 1).collect()
-    if not rows:
+    histogram = materialize(histogram, "median")
+    size, total = histogram.agg(F.count(F.lit(1)), F.sum("n")).first()
+    if not size:
         return None
-    rows.sort()
+    low, high = (total - 1) // 2, total // 2
+    while size > PIECES:
+        histogram, before = _around(histogram, low, high, PIECES)
+        low, high, size = low - before, high - before, histogram.count()
+    rows = sorted(histogram.collect())
     upto = list(accumulate(n for _, n in rows))
-    if low is None:
-        low, high = (upto[-1] - 1) // 2, upto[-1] // 2
     return (rows[bisect_right(upto, low)].value + rows[bisect_right(upto, high)].value) / 2
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import logging
 from dataclasses import dataclass
 from typing import Any
@@ -14,12 +15,12 @@ from salescast.operators.enrich import enrich_store
 from salescast.operators.features import available_features, feature_matrix
 from salescast.operators.forecast import forecast_table, zero_closed
 from salescast.operators.models import SalesModel
-from salescast.operators.profile import dataset_summary
+from salescast.operators.profile import cleaning_audit, dataset_summary
 from salescast.operators.split import with_split
-from salescast.plans.preprocess import Fitted, preprocess_horizon, preprocess_train
+from salescast.plans.preprocess import Fitted, HorizonProfile, preprocess_horizon, preprocess_train, profile_horizon
 from salescast.plans.report import evaluation_report
 from salescast.plans.train import Trained, train_all
-from salescast.session import materialize
+from salescast.session import materialize, small_table
 from salescast.sources import readers, schemas
 from salescast.sources.writers import write_forecast, write_report
 
@@ -28,9 +29,10 @@ log = logging.getLogger(__name__)
 
 @dataclass
 class Result:
-    """Tables and models of a run."""
+    """Tables and models of a run. ``audits`` has what cleaning removed, the nulls left, the split and failed models."""
 
     summary: DataFrame
+    audits: DataFrame
     fitted: Fitted
     features: list[str]
     data: DataFrame
@@ -52,9 +54,28 @@ def training_data(
     return materialize(feature_matrix(split, features, keep=("split",)), "features"), fitted, features
 
 
-def score_horizon(horizon: DataFrame, stores: DataFrame, fitted: Fitted, model: SalesModel) -> DataFrame:
+def score_horizon(
+    horizon: DataFrame, stores: DataFrame, fitted: Fitted, model: SalesModel, profile: HorizonProfile | None = None
+) -> DataFrame:
     """The horizon rows with ``yhat``, zero on closed days."""
-    return zero_closed(model.predict(preprocess_horizon(horizon, stores, fitted)))
+    return zero_closed(model.predict(preprocess_horizon(horizon, stores, fitted, profile=profile)))
+
+
+def audit_table(
+    sales: DataFrame, data: DataFrame, trained: Trained, cut: dt.date, horizon: HorizonProfile | None = None
+) -> DataFrame:
+    """(audit, item, value as text): one small table from a scan of the sales and one of the features."""
+    counts = cleaning_audit(sales).first()
+    rows = [("cleaning", k, str(v)) for k, v in counts.asDict().items()]
+    missing = [f.name for f in data.schema.fields]
+    sides = data.groupBy("split").agg(
+        F.count(F.lit(1)).alias("rows"), *(F.count_if(F.col(c).isNull()).alias(c) for c in missing if c != "split")).collect()
+    left = {c: sum(r[c] for r in sides) for c in missing if c != "split"}
+    rows += [("nulls", c, str(n)) for c, n in left.items() if n]
+    rows += [("split", f"{r.split}_rows", str(r.rows)) for r in sides] + [("split", "split_date", str(cut))]
+    rows += [("horizon", "rows", str(horizon.rows))] if horizon else []
+    rows += [("failed_model", r.model, r.error) for r in trained.runs.where("error is not null").collect()]
+    return small_table(data.sparkSession, rows, audit="string", item="string", value="string")
 
 
 def forecast_sales(
@@ -66,16 +87,20 @@ def forecast_sales(
     params: dict[str, dict[str, Any]] | None = None,
     output_dir: str | None = None,
     required: list[str] | None = None,
+    profile: HorizonProfile | None = None,
 ) -> Result:
     """Train and compare the models; with ``horizon``, forecast it by the best one."""
     data, fitted, features = training_data(sales, stores, validation_weeks, required)
+    if horizon is not None and profile is None:
+        profile = profile_horizon(horizon, stores)
     trained = train_all(data, model_names, params, features, output_dir)
     report = evaluation_report(trained.scores, trained.importances)
     forecast = None
     if horizon is not None and trained.best_fitted is not None:
-        forecast = forecast_table(score_horizon(horizon, stores, fitted, trained.best_fitted))
+        forecast = forecast_table(score_horizon(horizon, stores, fitted, trained.best_fitted, profile))
     summary = dataset_summary(enrich_store(sales, stores), "Merged Training Data")
-    return Result(summary, fitted, features, data, trained, report, forecast)
+    audits = audit_table(sales, data, trained, fitted.split_date(validation_weeks), profile)
+    return Result(summary, audits, fitted, features, data, trained, report, forecast)
 
 
 def _horizon_or_none(spark: SparkSession, data_dir: str) -> DataFrame | None:
@@ -87,7 +112,6 @@ def _horizon_or_none(spark: SparkSession, data_dir: str) -> DataFrame | None:
             raise
         log.warning("no forecast: %s", error)
         return None
-    readers.check_required(horizon, schemas.REQUIRED_HORIZON)
     return horizon
 
 
@@ -104,10 +128,13 @@ def run_pipeline(
     sales = readers.read_sales(spark, f"{data_dir}/{readers.SALES_FILE}")
     stores = readers.read_store(spark, f"{data_dir}/{readers.STORE_FILE}")
     horizon = _horizon_or_none(spark, data_dir) if generate_forecast else None
+    profile = None if horizon is None else profile_horizon(horizon, stores, schemas.REQUIRED_HORIZON)
     result = forecast_sales(
-        sales, stores, horizon, validation_weeks, model_names, params, output_dir, schemas.REQUIRED_SALES
+        sales, stores, horizon, validation_weeks, model_names, params, output_dir, schemas.REQUIRED_SALES, profile
     )
     write_report(result.report, f"{output_dir}/evaluation_report")
+    write_report(result.audits, f"{output_dir}/audits")
+    write_report(result.summary, f"{output_dir}/summary")
     if result.forecast is not None:
-        write_forecast(result.forecast, f"{output_dir}/forecast", expected_rows=horizon.count())
+        write_forecast(result.forecast, f"{output_dir}/forecast", expected_rows=profile.rows)
     return result

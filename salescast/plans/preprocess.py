@@ -80,15 +80,33 @@ def preprocess_train(
     return transform(enrich_store(sales, stores), fitted.labels, True, fitted.distance_median), fitted
 
 
+@dataclass(frozen=True)
+class HorizonProfile:
+    """What one scan of the rows to forecast tells: their number and their median distance."""
+
+    rows: int
+    distance_median: float | None
+
+
+def profile_horizon(horizon: DataFrame, stores: DataFrame, required: list[str] | None = None) -> HorizonProfile:
+    """One scan, reduced to a row per store; raises if a ``required`` column has missing values."""
+    watched, check = watch_required(horizon, required) if required else (horizon, lambda: None)
+    counts = materialize(watched.groupBy("store").agg(F.count(F.lit(1)).alias("n")), "horizon-profile")
+    check()
+    rows = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    return HorizonProfile(rows, _median_distance(enrich_store(counts, stores)))
+
+
 def preprocess_horizon(
-    horizon: DataFrame, stores: DataFrame, fitted: Fitted, reuse_median: bool = False
+    horizon: DataFrame, stores: DataFrame, fitted: Fitted, reuse_median: bool = False,
+    profile: HorizonProfile | None = None,
 ) -> DataFrame:
     """The horizon features: every row stays, labels as fitted on training rows.
 
-    By default missing distances get the median of the horizon's own rows; ``reuse_median`` takes the
-    training median instead.
+    By default missing distances get the median of the horizon's own rows (from ``profile``, if that was made before);
+    ``reuse_median`` takes the training median instead.
     """
     fill = fitted.distance_median if reuse_median else None
     if fill is None:
-        fill = _median_distance(enrich_store(horizon.groupBy("store").agg(F.count(F.lit(1)).alias("n")), stores))
+        fill = (profile or profile_horizon(horizon, stores)).distance_median
     return transform(enrich_store(horizon, stores), fitted.labels, False, fill)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salescast.session import materialize
+from salescast.session import gathered
 from salescast.sources.schemas import FEATURES
 
 
@@ -18,4 +18,4 @@ def importance_input(data: DataFrame) -> DataFrame:
         *[F.coalesce(F.abs(F.regr_slope(F.col("sales"), F.col(f))), F.lit(0.0)).alias(f) for f in FEATURES]
     )
     rows = slopes.unpivot([], FEATURES, "feature", "importance").select(F.lit("line").alias("model"), "*")
-    return materialize(rows, "importances")
+    return gathered(rows)

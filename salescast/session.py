@@ -32,19 +32,24 @@ def shared_folder(spark: SparkSession) -> str:
     Where the setting is missing, a local session gets a temporary folder; a cluster session is refused.
     """
     context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if named:
-        folder = named
-    elif context.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="salescast-")
-        atexit.register(shutil.rmtree, folder, ignore_errors=True)
-    else:
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    folder = spark.conf.get("spark.checkpoint.dir", None) or _folders.get(context.applicationId)
+    if not folder:
+        folder = context.getCheckpointDir()  # set by hand, before anything was written
+        if folder is None and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        if folder is None:
+            folder = tempfile.mkdtemp(prefix="salescast-")
+            atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        # Spark adds a folder of its own to what it is told, so that its answer is not the place to ask again.
+        _folders[context.applicationId] = folder
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder
 
 
+_folders: dict[str, str] = {}
+
+
 ARROW_TYPES = {"string": pa.string(), "int": pa.int32(), "bigint": pa.int64(), "double": pa.float64()}
 
 
@@ -55,6 +60,11 @@ def small_table(spark: SparkSession, rows: list[tuple], /, **types: str) -> Data
     return spark.createDataFrame(pa.table(arrays))
 
 
+def gathered(df: DataFrame) -> DataFrame:
+    """A table of a few rows by its nature (one per model, feature or column), computed once and kept in the plan."""
+    return df.sparkSession.createDataFrame(df.toArrow())
+
+
 def _run_folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark).rstrip('/')}/salescast-{spark.sparkContext.applicationId}"
 

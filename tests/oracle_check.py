@@ -15,8 +15,8 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 from __spark_entry__ import oracle_sql, queries  # noqa: E402
 
 TYPES = {"tinyint": "TINYINT", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
-         "date": "DATE"}
-RAW = "region nation customer supplier part orders lineitem".split()
+         "date": "DATE", "boolean": "BOOLEAN"}
+RAW = "region nation customer supplier part orders lineitem documents pages benchmark labels".split()
 
 
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
@@ -28,7 +28,7 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 def plain(value):
     if isinstance(value, float):
-        return None if math.isnan(value) else value + 0.0
+        return "NaN" if math.isnan(value) else value + 0.0
     if isinstance(value, dt.datetime):
         return value.date() if value.time() == dt.time() else value
     return value

@@ -217,3 +217,10 @@ def test_forecast(spark):
                                "id bigint, open double, yhat double")
     assert forecast.forecast_table(forecast.zero_closed(df)).collect() == [(1, 0.0), (2, 50.0), (3, 0.0), (4, None)]
     assert forecast.zero_closed(df.drop("open")).first().yhat == 50.0
+
+
+def test_nan_predictions_fail_the_metrics(spark):
+    df = spark.createDataFrame([("m", "train", 1.0, float("nan")), ("m", "train", 2.0, 2.0)],
+                               "model string, split string, y double, yhat double")
+    with pytest.raises(Exception, match="missing predictions"):
+        evaluate.metrics(df).collect()

@@ -8,11 +8,18 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from salescast.operators import models
-from salescast.operators.models import SMALL, SalesModel, create_model
+from salescast.operators.models import SalesModel, create_model
 from salescast.plans import pipeline
 from salescast.plans.preprocess import preprocess_horizon, preprocess_train
 from salescast.plans.train import train_all
-from salescast.sources import derived, readers
+from salescast.sources import derived, readers, writers
+
+# Sizes for tests of what surrounds the models.
+SMALL = {
+    "random_forest": {"numTrees": 10, "maxDepth": 6, "maxBins": 64},
+    "boosted_deep": {"maxIter": 20, "maxDepth": 4, "stepSize": 0.3, "maxBins": 64},
+    "boosted_leaf": {"maxIter": 20, "maxDepth": 3, "stepSize": 0.3, "maxBins": 64},
+}
 
 
 def table(spark, n=300):
@@ -184,3 +191,27 @@ def test_split_date_is_a_date(spark, sf_dir):
     data, fitted, inputs = pipeline.training_data(derived.sales_table(spark, sf_dir), derived.store_table(spark, sf_dir))
     assert fitted.split_date() == fitted.last_date - dt.timedelta(days=42)
     assert data.columns == [*inputs, "sales", "split"]
+
+
+def test_a_saved_model_of_another_kind_is_refused(spark, tmp_path):
+    create_model("linear_regression").fit(table(spark, 20), ["a", "b"]).save(str(tmp_path / "line"))
+    with pytest.raises(ValueError, match="random_forest"):
+        create_model("random_forest").load(str(tmp_path / "line"))
+    assert create_model("linear_regression").load(str(tmp_path / "line")).features == ["a", "b"]
+
+
+def test_a_failing_model_is_in_the_audits(spark, sf_dir):
+    sales, stores = derived.sales_table(spark, sf_dir), derived.store_table(spark, sf_dir)
+    result = pipeline.forecast_sales(sales, stores, model_names=["linear_regression", "random_forest"],
+                                     params={"random_forest": {"maxBins": 1}})
+    failed = {r.item: r.value for r in result.audits.where("audit = 'failed_model'").collect()}
+    assert list(failed) == ["RandomForest"] and failed["RandomForest"]
+    assert result.trained.best == "LinearRegression"
+
+
+def test_an_earlier_forecast_stays_if_rows_are_missing(spark, tmp_path):
+    old = spark.createDataFrame([(1, 5.0)], "id bigint, sales double")
+    assert writers.write_forecast(old, str(tmp_path / "f"), 1) == 1
+    with pytest.raises(ValueError, match="2 forecast rows for 1"):
+        writers.write_forecast(old.unionByName(old), str(tmp_path / "f"), 1)
+    assert spark.read.csv(str(tmp_path / "f"), header=True).count() == 1

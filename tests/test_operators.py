@@ -73,9 +73,14 @@ def test_weighted_median(spark):
     assert impute.exact_median(df, "x", "n") == statistics.median([1.0] * 5 + [2.0] * 3 + [9.0] * 2)
 
 
+def test_median_of_many_distinct_values(spark):
+    df = spark.range(150_001).select(((F.col("id") * 7919) % 150_001 + 0.5).alias("x"))
+    assert impute.exact_median(df, "x") == 75_000.5
+
+
 @pytest.mark.parametrize("seed, size", [(1, 2000), (2, 1999), (3, 501)])
 def test_median_narrows_long_histograms(spark, monkeypatch, seed, size):
-    monkeypatch.setattr(impute, "LOCAL_VALUES", 20)
+    monkeypatch.setattr(impute, "PIECES", 20)
     rng = random.Random(seed)
     values = [round(rng.lognormvariate(3, 2), 2) for _ in range(size)] + [7.0] * (size // 3)
     df = spark.createDataFrame([(v,) for v in values], "x double")
@@ -193,13 +198,19 @@ def test_without_categories_nothing_is_encoded(spark):
     assert encode.encode_labels(df, labels).collect() == [(1,)]
 
 
-def test_large_label_sets_are_numbered_the_same(spark, monkeypatch):
+def test_unused_labels_leave_no_join(spark):
+    df = spark.createDataFrame([("a", None, 1), ("b", "x", 2)], "store_type string, assortment string, n int")
+    encoded = encode.encode_labels(df, encode.fit_labels(df, ["store_type", "assortment"]))
+    plan = encoded.select("n", "store_type")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1
+
+
+def test_large_label_sets_are_numbered_in_order(spark):
     rows = [(f"{(i * 7919) % 400:03d}", "x" if i % 3 else None) for i in range(1200)]
     df = spark.createDataFrame(rows, "store_type string, assortment string")
-    local = sorted(encode.fit_labels(df, ["store_type", "assortment"]).table.collect())
-    monkeypatch.setattr(encode, "LOCAL_LABELS", 10)
     labels = encode.fit_labels(df, ["store_type", "assortment"])
-    assert sorted(labels.table.collect()) == local and len(local) == 402
+    local = sorted(labels.table.collect())
+    assert [r.code for r in local if r.column == "store_type"] == list(range(400)) and len(local) == 402
     codes = {(r.column, r.label): r.code for r in local}
     expected = sorted((codes["store_type", s], codes["assortment", a or "nan"]) for s, a in rows)
     assert sorted(encode.encode_labels(df, labels).collect()) == expected

@@ -6,10 +6,14 @@ import pytest
 from salescast.session import materialize, release, scratch_path, shared_folder
 
 
+made = []
+
+
 def stub(master, named=None):
     """As much of a session as ``shared_folder`` looks at."""
-    context = SimpleNamespace(master=master, folder=None)
-    context.getCheckpointDir = lambda: context.folder
+    context = SimpleNamespace(master=master, folder=None, applicationId=f"app-{master}-{named}-{len(made)}")
+    made.append(context)
+    context.getCheckpointDir = lambda: context.folder and f"{context.folder}/a-folder-of-spark"
     context.setCheckpointDir = lambda folder: setattr(context, "folder", folder)
     return SimpleNamespace(conf={} if named is None else {"spark.checkpoint.dir": named}, sparkContext=context)
 
@@ -39,6 +43,16 @@ def test_materialized_tables_are_released(spark):
     assert not folder.exists()
 
 
+def test_one_folder_for_all_tables(spark):
+    """Spark's own answer for the checkpoint folder changes once it is set; ours does not."""
+    first = scratch_path(spark, "a")
+    spark.range(1).write.parquet(first)
+    second = scratch_path(spark, "b")
+    assert Path(first).parent == Path(second).parent and shared_folder(spark) == shared_folder(spark)
+    release(spark)
+    assert not Path(first.removeprefix("file:")).exists()
+
+
 def test_empty_table_keeps_its_schema(spark):
     table = materialize(spark.range(10).where("id > 100").selectExpr("id", "'a' as name"), "nothing")
     assert table.count() == 0 and table.columns == ["id", "name"]
