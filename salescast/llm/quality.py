@@ -6,7 +6,7 @@ over all documents of the language (null is a language of its own). Common are w
 make up ``COMMON`` or more of a language's words, so there are at most 1 / ``COMMON`` of them.
 
 A document fails if a distance exceeds its limit, which allows for chance in short texts by a term that falls with the root
-of the length. Below the guards (``LEAST_CHARS``, ``LEAST_WORDS``) a histogram says too little and is not used. The plain
+of the length. Below the guards (``LEAST_BYTES``, ``LEAST_WORDS``) a histogram says too little and is not used. The plain
 rules (under ten words, a fifth of the words repeated) come first.
 
 Edge cases: null and empty texts have no words and fail the plain rules. A language with nothing counted has no reference
@@ -21,11 +21,13 @@ from pyspark.sql import functions as F
 from salescast.session import materialize
 
 SPACE = r"\x20\x09-\x0D"
-#: What is left of a text when all else is deleted; letters a-z and other characters are the rest.
-CLASSES = {"upper": "A-Z", "digit": "0-9", "space": SPACE, "stop": ".,;:?!'\"()-", "symbol": "#*$%&|<>", "wide": r"\x{80}-\x{10FFFF}"}
+SPACES = " \t\n\x0b\f\r"
+#: Characters that are left of a text when all others are deleted. Further classes are spaces, the bytes that wide characters
+#: take beyond one, and the rest: letters a-z and all others.
+CLASSES = {"upper": "A-Z", "digit": "0-9", "stop": ".,;:?!'\"()-", "symbol": "#*$%&|<>"}
 
 SHORT, COMMON = 4, 0.005
-LEAST_CHARS, LEAST_WORDS = 200, 50
+LEAST_BYTES, LEAST_WORDS = 200, 50
 #: Limits of the two distances, and what is added over the root of the number of characters or words.
 CHAR_LIMIT, CHAR_NOISE = 0.22, 1.5
 WORD_LIMIT, WORD_NOISE = 0.35, 1.2
@@ -40,16 +42,18 @@ def _windows(hashes: Column, size: int = 5) -> Column:
 def features(documents: DataFrame) -> DataFrame:
     """Counts of each document (doc_id, text, lang): the plain ones, characters by class, and its short words."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    trimmed = F.btrim(text, F.lit(" \t\n\x0b\f\r"))
     rows = documents.select(F.col("doc_id"), F.col("lang").cast("string").alias("lang"), text.alias("text"))
+    one, none = F.col("text"), F.col("text")
+    for space in SPACES:
+        one = one if space == " " else F.replace(one, F.lit(space), F.lit(" "))
+        none = F.replace(none, F.lit(space), F.lit(""))
     rows = rows.select(
-        "doc_id", "lang", "text",
-        F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, f"[{SPACE}]+")).alias("words"),
+        "doc_id", "lang", "text", F.array_remove(F.split(one, " "), "").alias("words"), F.length(none).cast("long").alias("word_chars"),
         F.filter(F.split("text", "\n"), lambda line: line.rlike(f"[^{SPACE}]")).alias("lines"),
-        F.length("text").cast("long").alias("n_chars"),
+        F.length("text").cast("long").alias("n_chars"), F.octet_length("text").cast("long").alias("n_bytes"),
         *(F.length(F.regexp_replace("text", f"[^{kept}]+", "")).cast("long").alias(f"c_{name}") for name, kept in CLASSES.items()))
     rows = rows.select(
-        "doc_id", "lang", "n_chars", *(f"c_{name}" for name in CLASSES), F.size("words").cast("long").alias("n_words"),
+        "doc_id", "lang", "n_chars", "n_bytes", "word_chars", *(f"c_{name}" for name in CLASSES), F.size("words").cast("long").alias("n_words"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.filter("words", lambda w: F.length(w) <= SHORT).alias("short"),
         F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"))
@@ -64,21 +68,21 @@ def features(documents: DataFrame) -> DataFrame:
     covered = F.aggregate(
         F.transform("places", lambda p, k: F.least(F.lit(5), F.coalesce(F.get("places", k + 1) - p, F.lit(5))).cast("long")),
         F.lit(0).cast("long"), lambda a, n: a + n)
+    classes = [*(F.col(f"c_{name}") for name in CLASSES), F.col("n_chars") - F.col("word_chars"), F.col("n_bytes") - F.col("n_chars")]
     return rows.select(
-        "doc_id", "lang", "n_words", (F.col("n_chars") - F.col("c_space")).alias("word_chars"), F.col("c_symbol").alias("n_symbols"),
-        "n_dup_lines", F.coalesce(covered, F.lit(0).cast("long")).alias("n_repeat_words"), "n_chars",
-        F.array(*(F.col(f"c_{name}") for name in CLASSES),
-                F.col("n_chars") - sum((F.col(f"c_{name}") for name in CLASSES), F.lit(0))).alias("chars"),
+        "doc_id", "lang", "n_words", "word_chars", F.col("c_symbol").alias("n_symbols"),
+        "n_dup_lines", F.coalesce(covered, F.lit(0).cast("long")).alias("n_repeat_words"), "n_bytes",
+        F.array(*classes, F.col("n_bytes") - sum(classes, F.lit(0))).alias("chars"),
         F.transform("short", F.lower).alias("short"))
 
 
 def references(found: DataFrame) -> DataFrame:
     """For each language the shares of its character classes, its common words and their shares; one row each."""
-    n = len(CLASSES) + 1
+    n = len(CLASSES) + 3
     chars = found.groupBy("lang").agg(
-        F.sum("n_chars").alias("all_chars"), F.sum("n_words").alias("all_words"),
+        F.sum("n_bytes").alias("all_bytes"), F.sum("n_words").alias("all_words"),
         F.array(*(F.sum(F.get("chars", F.lit(k))) for k in range(n))).alias("sums"))
-    chars = chars.select("lang", "all_words", F.transform("sums", lambda s: s / F.greatest("all_chars", F.lit(1))).alias("char_shares"))
+    chars = chars.select("lang", "all_words", F.transform("sums", lambda s: s / F.greatest("all_bytes", F.lit(1))).alias("char_shares"))
     words = found.select("lang", F.explode("short").alias("word")).groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
     totals = chars.select(F.col("lang").alias("of"), "all_words")
     words = words.join(totals, F.col("lang").eqNullSafe(F.col("of"))).where(F.col("n") >= COMMON * F.col("all_words"))
@@ -106,12 +110,13 @@ def quality(documents: DataFrame) -> DataFrame:
     shares = F.transform(counts, lambda c: c / F.col("n_words"))
     rest = lambda s: F.array_append(s, 1 - F.aggregate(s, F.lit(0.0), lambda a, x: a + x))
     rows = rows.select(
-        "*", F.when(F.col("n_chars") >= LEAST_CHARS, jensen_shannon(
-            F.transform("chars", lambda c: c / F.col("n_chars")), F.col("char_shares"))).alias("char_distance"),
-        F.when((F.col("n_words") >= LEAST_WORDS) & (F.size("common") > 0), shares).alias("shares"))
+        "*", F.when(F.col("n_bytes") >= LEAST_BYTES, jensen_shannon(
+            F.transform("chars", lambda c: c / F.col("n_bytes")), F.col("char_shares"))).alias("char_distance"),
+        # The second use of hits keeps the optimizer from moving their making into the lambda of counts.
+        F.when((F.col("n_words") >= LEAST_WORDS) & (F.size("common") > 0) & (F.size("hits") >= 0), shares).alias("shares"))
     rows = rows.withColumn("word_distance", jensen_shannon(rest(F.col("shares")), rest(F.col("word_shares"))))
     base_failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    far = (F.coalesce(F.col("char_distance") > CHAR_LIMIT + CHAR_NOISE / F.sqrt("n_chars"), F.lit(False))
+    far = (F.coalesce(F.col("char_distance") > CHAR_LIMIT + CHAR_NOISE / F.sqrt("n_bytes"), F.lit(False))
            | F.coalesce(F.col("word_distance") > WORD_LIMIT + WORD_NOISE / F.sqrt("n_words"), F.lit(False)))
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                        base_failed.alias("base_failed"), (~base_failed & ~far).alias("kept"), "char_distance", "word_distance")
