@@ -78,11 +78,16 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(decoder(ranks, spark)("ids"), 256).alias("decoded_sha256"))
 
 
+def _whether(kind: str) -> Callable[[Column], Column]:
+    """A function of a span: true if it is of the kind, else null."""
+    return lambda span: F.when(span["kind"] == kind, F.lit(True))
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
     joined = lambda spans: F.concat_ws(",", F.transform(
         spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))
-    counts = [F.size(F.filter("spans", lambda s, kind=kind: s["kind"] == kind)).cast("long").alias(f"n_{kind}") for kind in BASE]
+    counts = [F.size(F.array_compact(F.transform("spans", _whether(kind)))).cast("long").alias(f"n_{kind}") for kind in BASE]
     base = joined(F.filter("spans", lambda s: s["kind"].isin(*BASE)))
     return found.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
 
