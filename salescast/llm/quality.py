@@ -103,7 +103,8 @@ def jensen_shannon(left: Column, right: Column) -> Column:
 def quality(documents: DataFrame) -> DataFrame:
     """Plain counts, both distances, and the verdict ``kept`` for each row of ``documents`` (doc_id, text, lang)."""
     found = materialize(features(documents), "quality-features")
-    known = references(found).withColumnRenamed("lang", "of")
+    # Written, so that Spark knows how small they are and does not shuffle the documents by language.
+    known = materialize(references(found), "quality-references").withColumnRenamed("lang", "of")
     rows = found.join(known, F.col("lang").eqNullSafe(F.col("of")), "left")
     rows = rows.withColumn("hits", F.filter(F.transform("short", lambda w: F.array_position("common", w)), lambda k: k > 0))
     counts = F.transform(F.sequence(F.lit(1), F.size("common")), lambda k: F.size(F.filter("hits", lambda h: h == k)))
