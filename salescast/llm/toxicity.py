@@ -51,7 +51,9 @@ def fragments(column: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     found = [" " + words.word(i).decode("utf-8", "replace") for i in sample]
     if len(words) > 1:
         gap = words.start[1:] - words.end[:-1]
-        one = np.diff(np.concatenate([[0], np.cumsum(words.data & 0xC0 != 0x80)])[np.stack([words.start, words.end])], axis=0)[0] == 1
+        # One character: its first byte tells how many there are.
+        size, lead = words.end - words.start, words.data[words.start]
+        one = size == np.where(lead < 0xC0, 1, np.where(lead < 0xE0, 2, np.where(lead < 0xF0, 3, 4)))
         solid = SPACED[words.data[words.end[:-1]]] & SPACED[words.data[words.start[1:] - 1]]
         close = (row[1:] == row[:-1]) & (gap <= 2) & (solid | one[1:] & one[:-1])
         place = {f: i for i, f in enumerate(found)}
