@@ -24,7 +24,7 @@ from salescast.llm.text import LETTERS, Words, runs
 from salescast.session import materialize
 
 #: Text bytes of a block and of a group of phrases; both bound what one task holds at once.
-BLOCK = 4 << 20
+BLOCK = 2 << 20
 GROUP = 4 << 20
 
 INDEX = "block bigint, ids array<bigint>, first binary, terms binary, lists binary, places binary"

@@ -36,6 +36,8 @@ COORDINATES = 64
 MATCHES = 36
 #: Classes of a large group that one task compares with each other.
 BLOCK = 512
+#: Bytes of text that a task turns into shingles at once.
+RUN = 2 << 20
 
 UNIT = "unit long, other long, cluster long, node long, block long, signature binary, shingles binary"
 
@@ -43,7 +45,7 @@ UNIT = "unit long, other long, cluster long, node long, block long, signature bi
 def _signed(documents: DataFrame, size: int) -> DataFrame:
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows in runs(batch, "text", 8 << 20):
+            for rows in runs(batch, "text", RUN):
                 sets, begin = shingle_sets(rows["text"], size)
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": rows["doc_id"], "n_shingles": pa.array(np.diff(begin)),
@@ -166,7 +168,7 @@ def near_duplicates(documents: DataFrame, percent: int = 85, size: int = 5, bloc
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows in runs(batch, "text", 8 << 20):
+            for rows in runs(batch, "text", RUN):
                 sets, begin = shingle_sets(rows["text"], size)
                 same = [i for i, (p, q) in enumerate(zip(rows["print"].to_pylist(), fingerprints(sets, begin))) if p == q]
                 held = [sets[begin[i]: begin[i + 1]].tobytes() for i in same]

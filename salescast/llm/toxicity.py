@@ -41,6 +41,8 @@ NEGATIVES = 5000
 GRAMS = (4, 5, 6)
 #: The highest decisions of a document that count for its score.
 WORST = 3
+#: Bytes of text whose distinct fragments a task compares at once; more of it repeats itself more, but takes more memory.
+RUN = 4 << 20
 
 
 def fragments(column: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -109,7 +111,7 @@ def _map(rows: DataFrame, kind: str, function) -> DataFrame:
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in runs(batch, "text", 8 << 20):
+            for part in runs(batch, "text", RUN):
                 yield function(part)
 
     return rows.mapInArrow(apply, kind)
@@ -312,7 +314,7 @@ def toxicity(documents: DataFrame, labels: DataFrame, allowed: Column, most: int
         marks = Landmarks(model.landmarks)
         for batch in texts:
             rows = pa.RecordBatch.from_arrays([batch], ["text"])
-            value = [model.documents(part["text"], marks) for part in runs(rows, "text", 8 << 20)]
+            value = [model.documents(part["text"], marks) for part in runs(rows, "text", RUN)]
             yield pa.array(model.scores(np.concatenate(value or [np.zeros(0)])))
 
     return documents.withColumn(column, score(F.col("text").cast("string")))
