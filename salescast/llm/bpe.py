@@ -20,6 +20,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -187,13 +188,22 @@ def encode(documents: DataFrame, ranks: dict[bytes, int], pattern: str, chunk: i
 
 def decoder(ranks: dict[bytes, int], spark):
     """A function from a column of id arrays to the bytes they stand for."""
-    known = spark.sparkContext.broadcast({i: p for p, i in ranks.items()})
+    size = max(ranks.values()) + 1
+    pieces = [b""] * size
+    for piece, rank in ranks.items():
+        pieces[rank] = piece
+    known = spark.sparkContext.broadcast(pieces)
 
     @F.arrow_udf("binary")
     def decode(column: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        piece = known.value.__getitem__
+        table = pa.array(known.value, pa.binary())
         for batch in column:
-            yield pa.array([b"".join(map(piece, row.values.to_pylist())) for row in batch], pa.binary())
+            # The bytes of the taken pieces stand one after the other already; only the rows' ends are missing.
+            taken = table.take(batch.flatten())
+            ends = np.frombuffer(taken.buffers()[1], np.int32)[: len(taken) + 1] if len(taken) else np.zeros(1, np.int32)
+            counts = pc.fill_null(pc.list_value_length(batch), 0).to_numpy(zero_copy_only=False)
+            at = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
+            yield pa.Array.from_buffers(pa.binary(), len(batch), [None, pa.py_buffer(ends[at].copy()), taken.buffers()[2]])
 
     def apply(ids: Column | str) -> Column:
         return decode(ids)
