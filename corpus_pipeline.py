@@ -24,6 +24,8 @@ from salescast.session import materialize
 
 #: Documents with this probability of being toxic go.
 TOXIC = 0.5
+#: Documents of this similarity in a hundred are near duplicates.
+SIMILAR = 80
 
 
 def _row_key() -> Column:
@@ -38,10 +40,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id stays, one without an id last of all."""
+    """Of each group of near duplicates (similarity of 0.8 and more) the document with the smallest id stays, one without an id last of all."""
     name = unused(docs, "row_number")
     rows = materialize(docs.withColumn(name, F.monotonically_increasing_id()), "numbered")  # numbers stay once written
-    groups = near_duplicates(rows.select(F.col(name).alias("doc_id"), "text")).select(F.col("doc_id").alias(name), "component_id")
+    groups = near_duplicates(rows.select(F.col(name).alias("doc_id"), "text"), percent=SIMILAR)
+    groups = groups.select(F.col("doc_id").alias(name), "component_id")
     members = materialize(rows.select(name, "doc_id").join(groups, name), "members")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", name)
     first = members.groupBy("component_id").agg(F.min(order).alias("first")).select(F.col(f"first.{name}").alias(name))

@@ -10,8 +10,8 @@ Classes that are connected by prefix postings form a group. In a group collision
 above the threshold are confirmed on their full sets, and each work unit returns a spanning forest of its links, never
 all pairs. A large group is cut into blocks of about ``BLOCK`` classes: first each block by itself; then, only where the
 links found so far leave a group in more than one component, every pair of blocks. So a group of thousands of copies costs
-work in proportion to its size, and yet no link between different components is left out. A pair at the limit of similarity
-(0.85) falls below ``MATCHES`` of ``COORDINATES`` collisions with a probability under 1e-8.
+work in proportion to its size, and yet no link between different components is left out. A pair at a
+similarity of 0.85 falls below ``MATCHES`` of ``COORDINATES`` collisions with a probability under 1e-8, at 0.8 under 5e-6.
 
 Edge cases: null and empty texts, and those without words, have no shingles and are linked with nothing; component_id is
 their own doc_id. A null doc_id is never kept and is passed over for component_id unless its component has no other.

@@ -105,3 +105,21 @@ def test_whole_run(spark, tables):
     got = corpus_pipeline.run(spark, tables[0])
     assert {"doc_id", "ids", "n_tokens"} <= set(got.columns) and 100 < got.count() < 170
     assert not {r.doc_id for r in got.collect()} & {201, 202, 203}
+
+
+def test_near_copies_from_a_similarity_of_four_fifths(spark, tables):
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    docs, pairs = [], {}
+    for k in range(30):  # each change of one word takes five of 196 shingles away and brings five
+        base = [word() for _ in range(200)]
+        copy = list(base)
+        for i in range(rng.choice([3, 4, 5])):
+            copy[10 + 20 * i] = word()
+        a, b = (shingles(" ".join(t)) for t in (base, copy))
+        pairs[k] = len(a & b) / len(a | b)
+        docs += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(copy))]
+    assert any(0.8 <= s < 0.85 for s in pairs.values()) and any(s < 0.8 for s in pairs.values()) and any(s >= 0.85 for s in pairs.values())
+    _, kept = stage(spark, tables, "near_dedup", helpers.documents(spark, docs))
+    want = {i for k, s in pairs.items() for i in (2 * k, *((2 * k + 1,) if s < 0.8 else ()))}
+    assert {r.doc_id for r in kept.collect()} == want
