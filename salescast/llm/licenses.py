@@ -1,6 +1,6 @@
 """Licence scans by ordered signature rules with a keyword prefilter.
 
-The rules of ``license_rules`` are tried on a text only where their keyword occurs. Matches are taken from the heaviest rule
+The rules of ``license_rules`` are tried on a text only where one of their keywords occurs. Matches are taken from the heaviest rule
 down, longer ones first; one whose interval lies within that of a match taken before is suppressed, so the name inside a
 notice, or a family inside its version, is not reported again. What is left gives the labels; the score is the chance that
 at least one match is right, each right by its weight in a hundred.
@@ -32,21 +32,16 @@ KIND = ("struct<n_words: bigint, n_base: bigint, first_word: bigint, last_word:
 
 class Scanner:
     def __init__(self):
-        self.by_keyword: dict[str, list] = {}
+        self.by_keywords: dict[tuple[tuple[str, ...], ...], list] = {}
         for number, rule in enumerate(rules()):
-            self.by_keyword.setdefault(rule.keyword, []).append((number, rule))
+            self.by_keywords.setdefault(rule.keywords, []).append((number, rule))
 
     def matches(self, text: str) -> list[tuple[str, int, int, int]]:
         """What no heavier or longer match contains: label, start, end, weight."""
-        low = text.lower()
-        if not any(word in low for word in ("licen", "commons", "cc", "domain", "rights", "propriet", "copyright", "warrant",
-                                            "apache", "gpl", "bsd", "non-commercial", "redistribution", "permission",
-                                            ".org/", ".com/", ".net/", ".eu", ".co/", "advertising", "altered", "what the",
-                                            "source code", "endorse")):
-            return []
+        low = " ".join(text.lower().split())
         found = []
-        for keyword, own in self.by_keyword.items():
-            if keyword in low:
+        for keywords, own in self.by_keywords.items():
+            if any(all(part in low for part in parts) for parts in keywords):
                 found += [(-rule.weight, m.start() - m.end(), number, m.start(), m.end(), rule.label)
                           for number, rule in own for m in rule.pattern.finditer(text)]
         out: list[tuple[str, int, int, int]] = []

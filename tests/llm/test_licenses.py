@@ -1,4 +1,5 @@
 import random
+import re
 
 import helpers
 import pytest
@@ -57,3 +58,57 @@ def test_base_phrases_equal_brute_force(spark):
 
 def test_empty_table(spark):
     assert scan_licences(helpers.documents(spark, [])).count() == 0
+
+
+def _made(parsed, rng):
+    """A text that a parsed pattern matches, with line breaks and more as white space."""
+    out = ""
+    for kind, value in parsed:
+        kind = str(kind)
+        if kind == "LITERAL":
+            out += chr(value)
+        elif kind == "BRANCH":
+            out += _made(rng.choice(value[1]), rng)
+        elif kind == "SUBPATTERN":
+            out += _made(value[3], rng)
+        elif kind in ("MAX_REPEAT", "POSSESSIVE_REPEAT"):
+            out += "".join(_made(value[2], rng) for _ in range(rng.randint(value[0], min(value[1], value[0] + 2))))
+        elif kind == "IN":
+            kinds = {(str(k), str(v)) for k, v in value}
+            if ("CATEGORY", "CATEGORY_SPACE") in kinds:
+                out += rng.choice([" ", "\n", "\n    ", "\t"])
+            elif ("CATEGORY", "CATEGORY_WORD") in kinds:
+                out += rng.choice("xyz")
+            elif ("CATEGORY", "CATEGORY_DIGIT") in kinds:
+                out += rng.choice("0123456789")
+            else:
+                k, v = rng.choice(value)
+                out += chr(v if str(k) == "LITERAL" else rng.randint(*v))
+        elif kind == "ANY":
+            out += rng.choice("xyz ")
+    return out
+
+
+def test_every_rule_is_tried_where_it_matches():
+    rng = random.Random(9)
+    for number, rule in enumerate(rules()):
+        good = 0
+        for _ in range(40):
+            text = f"* {_made(re._parser.parse(rule.pattern.pattern, rule.pattern.flags), rng)}\n*"
+            text = rng.choice([text, text.upper(), text.title()])
+            if rule.pattern.search(text):
+                good += 1
+                low = " ".join(text.lower().split())
+                assert any(all(part in low for part in parts) for parts in rule.keywords), (rule, text)
+        assert good, rule
+
+
+@pytest.mark.parametrize("text, label", [
+    ("licensed under GPLv3", "gpl-3"), ("the Expat License", "mit"), ("see unlicense.org", "unlicense"), ("see eupl.eu", "eupl"),
+    ("see wtfpl.net", "wtfpl"), ("the GNU General\nPublic License, version\n   2", "gpl-2"),
+    ("Permission is hereby\n granted, free of charge, to any person obtaining\na copy", "mit"), ("Creative Commons\nAttribution", "cc-by"),
+    ("neither the name of the\nholder nor the names of its contributors may be used to endorse or promote", "bsd-3"),
+    ("public domain" + " " * 100_000 + "mozilla public license" + "\n" * 100_000 + "MPL", "mpl"),
+])
+def test_alternatives_and_wrapped_notices(text, label):
+    assert label in {m[0] for m in SCANNER.matches(text)}
