@@ -8,8 +8,6 @@ import numpy as np
 
 from salescast.llm.text import mix
 
-#: Pieces of more bytes are left out of the lattice.
-LONGEST = 16
 #: Words of more bytes are taken one by one.
 WIDE = 48
 _MUL = np.uint64(0x9E3779B97F4A7C15)

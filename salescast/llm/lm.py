@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salescast.llm.lattice import LONGEST, Lattice
+from salescast.llm.lattice import Lattice
 from salescast.llm.text import SPACED, Words, runs
 from salescast.session import materialize
 
@@ -115,7 +115,7 @@ def lattice_scores(documents: DataFrame, ranks: dict[bytes, int], held_out: Colu
     Returns ``SCORES``: n_tokens counts words and the end, n_known those that occur in training, train_tokens all training
     tokens; base_score is the add-one unigram log10 probability of words, score the lattice model's log10 probability.
     """
-    pieces = [p for p, _ in sorted(ranks.items(), key=lambda x: x[1]) if len(p) <= LONGEST]
+    pieces = [p for p, _ in sorted(ranks.items(), key=lambda x: x[1])]
     blocks = _blocks(documents, held_out, block)
     lists = blocks.select("block", F.posexplode("words").alias("place", "w")).select("block", "place", "w.word", "w.n")
     counts = materialize(lists.groupBy("word").agg(F.sum("n").alias("n"),

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from salescast.llm import lattice
 from salescast.llm.lattice import Lattice
 from salescast.llm.lm import lattice_scores
+from salescast.llm.queries import byte_ranks
 
 RANKS = {bytes([i]): i for i in range(256)} | {p: 256 + i for i, p in enumerate([b" a", b"ab", b"abc", " é".encode(), b"bc", b" ab"])}
 
@@ -68,3 +69,22 @@ def test_nothing_to_learn_from(spark):
     assert lattice_scores(helpers.documents(spark, []), RANKS, F.lit(False)).count() == 0
     row = lattice_scores(helpers.documents(spark, [(1, "a b")]), RANKS, F.lit(True)).first()
     assert (row.n_tokens, row.n_known, row.train_tokens, row.base_score) == (3, 0, 0, 0.0)
+
+
+def test_long_pieces_of_the_whole_vocabulary(spark):
+    pytest.importorskip("public_tokenizers")
+    ranks = byte_ranks()
+    long = [p for p in ranks if len(p) > 16]
+    assert len(long) == 91 and max(map(len, long)) == 33
+    words = [p.decode().strip() for p in long if not p.decode(errors="replace").count("\ufffd")]
+    words = [w for w in words if w and not any(c.isspace() for c in w)]
+    words += ["responsibilities", "правительства", "пользователей", "ありがとうございます", "プログラミング"]
+    pieces = sorted(ranks, key=ranks.get)
+    logs = -np.log(np.arange(len(pieces)) + 256.0)
+    logs -= np.log(np.exp(logs).sum())
+    chance = dict(zip(pieces, np.exp(logs)))
+    want = {w: math.log10(total(b" " + w.encode(), chance)) for w in words}
+    # Without training rounds the scores are those of the ranks.
+    got = lattice_scores(helpers.documents(spark, list(enumerate(words))), ranks, F.lit(True), rounds=0).collect()
+    end = {round(r.score - want[words[r.doc_id]], 6) for r in got}
+    assert len(got) == len(words) and end == {0.0}
