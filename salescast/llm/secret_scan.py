@@ -39,12 +39,12 @@ _FLAGS = re.ASCII | re.IGNORECASE
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", _FLAGS)
 ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 HEX = re.compile(r"[0-9a-f]{32,}")
-ADDRESS = re.compile(r"[a-z][a-z0-9+.-]{1,15}://[^\s/:@'\"<>]{1,64}:[^\s/:@'\"<>]{1,128}@[^\s'\"<>]+", _FLAGS)
+ADDRESS = re.compile(r"[a-z][a-z0-9+.-]{1,15}://[^\s/:@'\"<>]++:[^\s/:@'\"<>]++@[^\s'\"<>]+", _FLAGS)
 ENDPOINT = re.compile(r"[a-z][a-z0-9+.-]{1,15}://[^\s'\"<>]{3,}"
                       r"|\b(?:host|hostname|server|endpoint|base_?url)\b[\"']?\x20*[:=]\x20*[\"']?[a-z0-9][a-z0-9.:/_-]{3,}", _FLAGS)
 IDENTIFIER = re.compile(r"\b(?:user|username|user_?id|login|client_?id|account|account_?id|access_?key_?id|email)\b"
                         r"[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9_.@+-]{3,}", _FLAGS)
-RANDOM = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,128}(?![A-Za-z0-9+/_=-])")
+RANDOM = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}+")
 
 Span = tuple[int, int]
 
@@ -54,9 +54,8 @@ def _entropy(text: str) -> float:
 
 
 def _is_random(text: str) -> bool:
-    """Capitals, small letters and digits mixed, and little repetition."""
-    return (any(c.isupper() for c in text) and any(c.islower() for c in text)
-            and sum(c.isdigit() for c in text) >= 2 and _entropy(text) >= 3.5)
+    """Capitals and small letters mixed, and little repetition. Keys can lack digits; company tells them from long names."""
+    return any(c.isupper() for c in text) and any(c.islower() for c in text) and _entropy(text) >= 3.5
 
 
 class _Near:
