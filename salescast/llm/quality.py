@@ -2,8 +2,8 @@
 
 For every document two histograms are compared with a reference of its language by the Jensen-Shannon distance (base 2, so
 between 0 and 1): characters by class, and words that are common in the language. The references are the same histograms
-over all documents of the language (null is a language of its own). Common are words of at most ``SHORT`` characters that
-make up ``COMMON`` or more of a language's words, so there are at most 1 / ``COMMON`` of them.
+over all documents of the language (null is a language of its own). Common are words, of any length,
+that make up ``COMMON`` or more of a language's words, so there are at most 1 / ``COMMON`` of them.
 
 A document fails if a distance exceeds its limit, which allows for chance in short texts by a term that falls with the root
 of the length. Below the guards (``LEAST_BYTES``, ``LEAST_WORDS``) a histogram says too little and is not used. The plain
@@ -26,7 +26,7 @@ SPACES = " \t\n\x0b\f\r"
 #: take beyond one, and the rest: letters a-z and all others.
 CLASSES = {"upper": "A-Z", "digit": "0-9", "stop": ".,;:?!'\"()-", "symbol": "#*$%&|<>"}
 
-SHORT, COMMON = 4, 0.005
+COMMON = 0.005
 LEAST_BYTES, LEAST_WORDS = 200, 50
 #: Limits of the two distances, and what is added over the root of the number of characters or words.
 CHAR_LIMIT, CHAR_NOISE = 0.22, 1.5
@@ -40,7 +40,7 @@ def _windows(hashes: Column, size: int = 5) -> Column:
 
 
 def features(documents: DataFrame) -> DataFrame:
-    """Counts of each document (doc_id, text, lang): the plain ones, characters by class, and its short words."""
+    """Counts of each document (doc_id, text, lang): the plain ones, characters by class, and its words in small letters."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = documents.select(F.col("doc_id"), F.col("lang").cast("string").alias("lang"), text.alias("text"))
     one, none = F.col("text"), F.col("text")
@@ -55,8 +55,7 @@ def features(documents: DataFrame) -> DataFrame:
     rows = rows.select(
         "doc_id", "lang", "n_chars", "n_bytes", "word_chars", *(f"c_{name}" for name in CLASSES), F.size("words").cast("long").alias("n_words"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        F.filter("words", lambda w: F.length(w) <= SHORT).alias("short"),
-        F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"))
+        F.transform("words", F.lower).alias("words"), F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"))
     rows = rows.withColumn("windows", _windows(F.col("hashes"))).drop("hashes")
     repeats = F.size(F.array_distinct("windows")) < F.size("windows")
     pairs = F.sort_array(F.transform("windows", lambda x, i: F.struct(x.alias("x"), i.alias("i"))))
@@ -72,8 +71,7 @@ def features(documents: DataFrame) -> DataFrame:
     return rows.select(
         "doc_id", "lang", "n_words", "word_chars", F.col("c_symbol").alias("n_symbols"),
         "n_dup_lines", F.coalesce(covered, F.lit(0).cast("long")).alias("n_repeat_words"), "n_bytes",
-        F.array(*classes, F.col("n_bytes") - sum(classes, F.lit(0))).alias("chars"),
-        F.transform("short", F.lower).alias("short"))
+        F.array(*classes, F.col("n_bytes") - sum(classes, F.lit(0))).alias("chars"), "words")
 
 
 def references(found: DataFrame) -> DataFrame:
@@ -83,7 +81,7 @@ def references(found: DataFrame) -> DataFrame:
         F.sum("n_bytes").alias("all_bytes"), F.sum("n_words").alias("all_words"),
         F.array(*(F.sum(F.get("chars", F.lit(k))) for k in range(n))).alias("sums"))
     chars = chars.select("lang", "all_words", F.transform("sums", lambda s: s / F.greatest("all_bytes", F.lit(1))).alias("char_shares"))
-    words = found.select("lang", F.explode("short").alias("word")).groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
+    words = found.select("lang", F.explode("words").alias("word")).groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
     totals = chars.select(F.col("lang").alias("of"), "all_words")
     words = words.join(totals, F.col("lang").eqNullSafe(F.col("of"))).where(F.col("n") >= COMMON * F.col("all_words"))
     words = words.groupBy("of").agg(F.sort_array(F.collect_list(F.struct("word", (F.col("n") / F.col("all_words")).alias("share")))).alias("common"))
@@ -106,7 +104,7 @@ def quality(documents: DataFrame) -> DataFrame:
     # Written, so that Spark knows how small they are and does not shuffle the documents by language.
     known = materialize(references(found), "quality-references").withColumnRenamed("lang", "of")
     rows = found.join(known, F.col("lang").eqNullSafe(F.col("of")), "left")
-    rows = rows.withColumn("hits", F.filter(F.transform("short", lambda w: F.array_position("common", w)), lambda k: k > 0))
+    rows = rows.withColumn("hits", F.filter(F.transform("words", lambda w: F.array_position("common", w)), lambda k: k > 0))
     counts = F.transform(F.sequence(F.lit(1), F.size("common")), lambda k: F.size(F.filter("hits", lambda h: h == k)))
     shares = F.transform(counts, lambda c: c / F.col("n_words"))
     rest = lambda s: F.array_append(s, 1 - F.aggregate(s, F.lit(0.0), lambda a, x: a + x))

@@ -5,7 +5,7 @@ from collections import Counter
 import helpers
 from pyspark.sql import functions as F
 
-from salescast.llm.quality import jensen_shannon, quality
+from salescast.llm.quality import features, jensen_shannon, quality, references
 
 
 def plain(text):
@@ -57,3 +57,17 @@ def test_languages_and_empty_table(spark):
     mixed = docs.withColumn("lang", F.when(F.col("doc_id") < 20, F.lit(None)).otherwise(F.lit("de")))
     assert quality(mixed).where("kept").count() == 60
     assert quality(docs.limit(0)).count() == 0
+
+
+def test_common_words_of_any_length(spark):
+    rng = random.Random(8)
+    words = ["nicht", "werden", "zwischen", "Verantwortlichkeiten", "und"]
+    docs = [(i, " ".join(rng.choice(words) + f" w{i}x{k}" for k in range(60))) for i in range(20)]
+    (row,) = references(features(helpers.documents(spark, docs))).collect()
+    often = Counter(w.lower() for _, t in docs for w in t.split())
+    n = sum(often.values())
+    want = {w: c / n for w, c in often.items() if c >= 0.005 * n}
+    assert dict(zip(row.common, row.word_shares)) == want and {w.lower() for w in words} <= set(want)
+    odd = [(900, " ".join(f"y{k} z{k}" for k in range(200)))]  # none of the common words, which are mostly long
+    kept = {r.doc_id: r.word_distance for r in quality(helpers.documents(spark, docs + odd)).collect()}
+    assert kept[900] > 0.5 > max(d for i, d in kept.items() if i != 900)
