@@ -5,9 +5,9 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from salescast.session import local_session  # noqa: E402
+from paths import TESTDATA  # noqa: E402
 
-TESTDATA = Path("/root/testdata")
+from salescast.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")

@@ -3,7 +3,7 @@ import random
 
 import numpy as np
 import pytest
-from conftest import TESTDATA
+from paths import TESTDATA
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
