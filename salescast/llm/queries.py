@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salescast.llm.bpe import decoder, encode
+from salescast.llm.conversations import digests
 from salescast.llm.decontamination import contamination
 from salescast.llm.html_text import extract
 from salescast.llm.licenses import scan_licences
@@ -18,6 +19,7 @@ from salescast.llm.quality import quality
 from salescast.llm.secret_scan import BASE, secret_spans
 from salescast.llm.sharding import shards
 from salescast.llm.toxicity import toxicity
+from salescast.llm.whitening import whiten
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -106,6 +108,14 @@ def op10_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "bytes", "shard", "depth", "shard_bytes")
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digests(table(spark, sf_dir, "conversations"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_near_dedup": op2_near_dedup,
@@ -117,4 +127,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_lattice_lm": op9_lattice_lm,
     "op10_extendible_shards": op10_extendible_shards,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_whitening": op13_whitening,
 }
