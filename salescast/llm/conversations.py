@@ -29,6 +29,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -208,14 +209,14 @@ def _legal(before: str, after: str) -> bool:
     return before + after in ("su", "ua", "au")
 
 
-ELEMENT = "conv_id {id}, block bigint, level int, first string, last string, illegal bigint, costs array<bigint>, ranks array<bigint>"
+ELEMENT = "conv_id {id}, block bigint, blocks bigint, first string, last string, illegal bigint, costs array<bigint>, ranks array<bigint>"
 
 
-def _element_rows(ids: pa.Array, blocks: pa.Array, level: int, first: pa.Array, last: pa.Array, illegal: np.ndarray,
+def _element_rows(ids: pa.Array, block: pa.Array, blocks: list[int | None], first: pa.Array, last: pa.Array, illegal: np.ndarray,
                   costs: np.ndarray, ranks: np.ndarray) -> pa.Table:
     at = pa.array(np.arange(len(ids) + 1, dtype=np.int32) * 16)
     lists = [pa.ListArray.from_arrays(at, pa.array(x.ravel().astype(np.int64))) for x in (costs, ranks)]
-    return pa.table({"conv_id": ids, "block": blocks, "level": pa.array([level] * len(ids), pa.int32()), "first": first, "last": last,
+    return pa.table({"conv_id": ids, "block": block, "blocks": pa.array(blocks, pa.int64()), "first": first, "last": last,
                      "illegal": pa.array(illegal.astype(np.int64)), "costs": lists[0], "ranks": lists[1]})
 
 
@@ -230,7 +231,7 @@ def _whole(table: pa.Table, *order: str) -> pa.Table:
 def _reduced_runs(rows: DataFrame, id_type: str) -> DataFrame:
     """An element for each conversation and run of rows (conv_id, place, run, initial, fault)."""
 
-    def reduce(table: pa.Table) -> pa.Table:
+    def join(table: pa.Table) -> pa.Table:
         table = _whole(table, "place")
         initial = table["initial"].combine_chunks()
         first = _stretches(table["conv_id"].combine_chunks())
@@ -239,43 +240,44 @@ def _reduced_runs(rows: DataFrame, id_type: str) -> DataFrame:
         letters = initial.to_pylist()
         bad = np.cumsum([0, *(not _legal(*pair) for pair in zip(letters, letters[1:]))])
         begin, end = pa.array(first[:-1]), pa.array(first[1:] - 1)
-        blocks = table["run"].combine_chunks().take(begin)
-        return _element_rows(table["conv_id"].combine_chunks().take(begin), blocks, 0, initial.take(begin), initial.take(end),
+        block = table["run"].combine_chunks().take(begin)  # numbered within the conversation, and counted, later
+        return _element_rows(table["conv_id"].combine_chunks().take(begin), block, [None] * len(begin), initial.take(begin), initial.take(end),
                              bad[first[1:] - 1] - bad[first[:-1]], costs, ranks)
 
-    return rows.groupBy("run").applyInArrow(reduce, ELEMENT.format(id=id_type))
+    return rows.groupBy("run").applyInArrow(join, ELEMENT.format(id=id_type))
 
 
 def _dense(elements: DataFrame) -> DataFrame:
-    """``block`` numbered from 0 within each conversation.
+    """``block`` numbered from 0 within each conversation, ``blocks`` their number; ``run`` is what ``block`` was.
 
     Runs of a conversation follow each other within a part, so only (conversation, part) pairs are put in order.
     """
     part = F.shiftright("block", PLACE - int(np.log2(RUN)))
     own = elements.withColumn("part", part)
     pieces = own.groupBy("conv_id", "part").agg(F.min("block").alias("least"), F.count(F.lit(1)).alias("size"))
-    earlier = Window.partitionBy("conv_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy("conv_id")
+    earlier = whole.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     pieces = pieces.select(F.col("conv_id").alias("of"), F.col("part").alias("in_part"), "least",
-                           F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("before"))
+                           F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("before"), F.sum("size").over(whole).alias("all"))
     joined = own.join(pieces, F.col("conv_id").eqNullSafe(F.col("of")) & (F.col("part") == F.col("in_part")))
     return joined.select("conv_id", (F.col("before") + F.col("block") - F.col("least")).alias("block"), F.col("block").alias("run"),
-                         "level", "first", "last", "illegal", "costs", "ranks")
+                         F.col("all").alias("blocks"), "first", "last", "illegal", "costs", "ranks")
 
 
-def _reduced(elements: DataFrame, level: int, id_type: str) -> DataFrame:
+def _reduced(elements: DataFrame, id_type: str) -> DataFrame:
     """Of each conversation, one element for ``FAN`` neighbours."""
 
-    def reduce(table: pa.Table) -> pa.Table:
+    def join(table: pa.Table) -> pa.Table:
         table = _whole(table, "block")
         n = np.array([0, table.num_rows])
         costs, ranks = reduce_elements(_tables(table["costs"]), _tables(table["ranks"]), n)
         first, last = table["first"].to_pylist(), table["last"].to_pylist()
         illegal = sum(table["illegal"].to_pylist()) + sum(not _legal(*pair) for pair in zip(last, first[1:]))
-        return _element_rows(table["conv_id"].combine_chunks().slice(0, 1), pa.array([table["block"][0].as_py() // FAN]), level,
+        return _element_rows(table["conv_id"].combine_chunks().slice(0, 1), pa.array([table["block"][0].as_py() // FAN]), [(table["blocks"][0].as_py() - 1) // FAN + 1],
                              pa.array(first[:1], pa.string()), pa.array(last[-1:], pa.string()), np.array([illegal]), costs, ranks)
 
     grouped = elements.withColumn("above", F.expr(f"block div {FAN}")).groupBy("conv_id", "above")
-    return grouped.applyInArrow(reduce, ELEMENT.format(id=id_type))
+    return grouped.applyInArrow(join, ELEMENT.format(id=id_type))
 
 
 STATE = "conv_id {id}, block bigint, before bigint, after bigint"
@@ -373,12 +375,16 @@ def repair(rows: DataFrame) -> Repaired:
     found = materialize(faults(placed(rows)).withColumn("run", F.expr(f"place div {RUN}")), "faults")
     runs = materialize(_reduced_runs(found, id_type), "elements")
     levels = [materialize(_dense(runs), "numbered")]
-    while not levels[-1].where("block > 0").isEmpty():
-        levels.append(materialize(_reduced(levels[-1], len(levels), id_type), "elements"))
-    ends = materialize(_finish(levels[-1], id_type), "ends")
-    states = ends.select("conv_id", "block", "before", "after")
-    for elements in reversed(levels[:-1]):
-        states = materialize(_descend(elements, states, id_type), "states")
+    while not (several := levels[-1].where("blocks > 1")).isEmpty():
+        levels.append(materialize(_reduced(several, id_type), "elements"))
+    # A conversation ends at the level where it has become one element; from there down its crossings are chosen.
+    ends = materialize(reduce(DataFrame.unionByName, (_finish(x.where("blocks = 1"), id_type).withColumn("level", F.lit(k))
+                                                      for k, x in enumerate(levels))), "ends")
+    states = None
+    for level, elements in reversed(list(enumerate(levels))):
+        whole = ends.where(F.col("level") == level).select("conv_id", "block", "before", "after")
+        states = whole if states is None else whole.unionByName(
+            materialize(_descend(elements.where("blocks > 1"), states, id_type), "states"))
     least = found.groupBy("conv_id", "run").agg(F.min("place").alias("least"))
     in_run = levels[0].select(F.col("conv_id").alias("of"), F.col("block").alias("number"), "run")
     states = states.join(in_run, F.col("conv_id").eqNullSafe(F.col("of")) & (F.col("block") == F.col("number"))).drop("of")
