@@ -14,6 +14,7 @@ from salescast.llm.decontamination import contamination
 from salescast.llm.html_text import extract
 from salescast.llm.licenses import scan_licences
 from salescast.llm.lm import lattice_scores
+from salescast.llm.mixing import mix, taken_sizes, words
 from salescast.llm.near_dedup import near_duplicates
 from salescast.llm.quality import quality
 from salescast.llm.secret_scan import BASE, secret_spans
@@ -108,6 +109,13 @@ def op10_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "bytes", "shard", "depth", "shard_bytes")
 
 
+def op11_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mix is planned on sizes; texts stand for themselves by a hash, as only their place in the mix is asked for."""
+    documents = table(spark, sf_dir, "documents")
+    rows = documents.select("doc_id", "source", words(F.col("text")).alias("size"), F.xxhash64("text").alias("text"))
+    return taken_sizes(mix(rows)).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(table(spark, sf_dir, "conversations"))
 
@@ -127,6 +135,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_lattice_lm": op9_lattice_lm,
     "op10_extendible_shards": op10_extendible_shards,
+    "op11_source_mix": op11_source_mix,
     "op12_conversation_repair": op12_conversation_repair,
     "op13_whitening": op13_whitening,
 }

@@ -13,6 +13,7 @@ COLUMNS = {
     "op8_quality_rules": "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept",
     "op9_lattice_lm": "doc_id held_out n_tokens n_known train_tokens base_score score",
     "op10_extendible_shards": "doc_id bytes shard depth shard_bytes",
+    "op11_source_mix": "doc_id size source_size target taken",
     "op12_conversation_repair": "conv_id gaps blank duplicate truncated illegal cost audit repaired_sha256",
     "op13_whitening": "vec_id component n deviation whitened explained identity_error",
 }
