@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salescast.llm.bpe import decoder, encode
+from salescast.llm.bpe import round_trip
 from salescast.llm.conversations import digests
 from salescast.llm.decontamination import contamination
 from salescast.llm.html_text import extract
@@ -73,12 +73,8 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    ranks = byte_ranks()
-    found = encode(table(spark, sf_dir, "documents").select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
-    return found.select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
-        F.sha2(decoder(ranks, spark)("ids"), 256).alias("decoded_sha256"))
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return round_trip(documents, byte_ranks(), public_tokenizers.PATTERN)
 
 
 def _whether(kind: str) -> Callable[[Column], Column]:

@@ -120,7 +120,7 @@ def test_draws_follow_the_distribution(spark):
 
 
 def test_large_draws_lie_where_they_should(spark):
-    good, bad, n = 40_000_000, 60_000_000, 50_000_000
+    good, bad, n = 1_000_000, 1_500_000, 1_250_000
     data = spark.range(200).select(m.hypergeometric(m._uniform("id"), F.lit(good), F.lit(bad), F.lit(n)).alias("x"))
     got = [r.x for r in data.collect()]
     mean, deviation = n * good / (good + bad), math.sqrt(n * 0.4 * 0.6 * 0.5)
