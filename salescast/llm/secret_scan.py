@@ -27,9 +27,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salescast.llm.text import unused
+from salescast.llm.text import runs
 
 SCOPE = 200
+#: Bytes of text that a task turns into Python strings at a time.
+TOGETHER = 2 << 20
 #: Kinds in the order of ties; the first three are the base.
 BASE = ("assign", "access", "hex")
 KINDS = (*BASE, "address", "random", "identifier", "endpoint")
@@ -53,9 +55,32 @@ def _entropy(text: str) -> float:
     return -sum(n / len(text) * math.log2(n / len(text)) for n in Counter(text).values())
 
 
+def _alphabet(text: str) -> int:
+    """Size of the alphabet that the letters and digits of a text are from: hexadecimal ones are told apart."""
+    letters = {c for c in text if c.isalpha()}
+    cased = 6 if {c.lower() for c in letters} <= set("abcdef") else 26
+    return 10 * any(c.isdigit() for c in text) + cased * (any(c.islower() for c in letters) + any(c.isupper() for c in letters))
+
+
 def _is_random(text: str) -> bool:
-    """Capitals and small letters mixed, and little repetition. Keys can lack digits; company tells them from long names."""
-    return any(c.isupper() for c in text) and any(c.islower() for c in text) and _entropy(text) >= 3.5
+    """Whether a text looks drawn from its own alphabet: of near its full entropy, and with kinds of characters in turns.
+
+    Kinds are capitals, small letters and digits. Joined words change kinds at their ends only and have capitals one by one, so where
+    both cases occur more changes are asked for, and capitals side by side or digits; one case without digits is taken for words.
+    """
+    own = "".join(c for c in text if c.isalnum())
+    if len(own) < 12:
+        return False
+    kinds = ["d" if c.isdigit() else "u" if c.isupper() else "l" for c in own]
+    changes = sum(a != b for a, b in zip(kinds, kinds[1:])) / (len(own) - 1)
+    if {"u", "l"} <= set(kinds):
+        capitals = sum(a == b == "u" for a, b in zip(kinds, kinds[1:]))  # names have them one by one
+        varied = changes >= 0.3 and capitals + kinds.count("d") >= 0.06 * len(own)
+    else:
+        varied = "d" in kinds and changes >= 0.1
+    # Short texts can't show a whole alphabet: the entropy expected falls with the root of their length.
+    size = _alphabet(own)
+    return varied and _entropy(own) >= 0.75 * min(math.log2(size), math.log2(len(own)))
 
 
 class _Near:
@@ -122,29 +147,42 @@ def secret_spans(documents: DataFrame, column: str = "spans") -> DataFrame:
     @F.arrow_udf("array<struct<kind: string, start: int, end: int>>")
     def scan(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            yield pa.array([[dict(zip(("kind", "start", "end"), s)) for s in spans(t.as_py() or "")] for t in texts], SPANS)
+            parts = [pa.array([[dict(zip(("kind", "start", "end"), s)) for s in spans(t or "")] for t in part["text"].to_pylist()], SPANS)
+                     for part in runs(pa.RecordBatch.from_arrays([texts], ["text"]), "text", TOGETHER)]
+            yield pa.concat_arrays(parts) if parts else pa.array([], SPANS)
 
     return documents.withColumn(column, scan(F.col("text").cast("string")))
 
 
+def without_secrets(text: str, mark: str) -> str:
+    """``text`` in which all spans but endpoints give way to ``mark``."""
+    parts, at = [], 0
+    for kind, start, end in spans(text):
+        if kind != "endpoint" and end > at:
+            parts += [text[at: start], mark] if start >= at else []
+            at = end
+    return "".join(parts) + text[at:] if parts else text
+
+
 def redact(documents: DataFrame, mark: str = "[secret]") -> DataFrame:
-    """``documents`` (with text and n_chars) in which all spans but endpoints give way to ``mark``; no row goes."""
-
-    @F.arrow_udf("string")
-    def clean(texts: pa.Array, found: pa.Array) -> pa.Array:
-        out = []
-        for text, own in zip(texts.to_pylist(), found.to_pylist()):
-            parts, at = [], 0
-            for s in own or ():
-                if s["kind"] != "endpoint" and s["end"] > at:
-                    parts += [text[at: s["start"]], mark] if s["start"] >= at else []
-                    at = s["end"]
-            out.append("".join(parts) + text[at:] if parts else text)
-        return pa.array(out, pa.string())
-
-    name = unused(documents, "spans")
-    found = secret_spans(documents, name)
-    hit = F.size(name) > 0
-    text = F.when(hit, clean(F.col("text").cast("string"), F.col(name))).otherwise(F.col("text"))
-    return (found.withColumn("text", text).withColumn("n_chars", F.when(hit, F.length("text")).otherwise(F.col("n_chars")))
-            .select(*documents.columns))
+    """``documents`` (with text and n_chars) in which all spans but endpoints give way to ``mark``; no row goes.
+
+    Secrets are found and replaced in one pass over a few megabytes of text at a time.
+    """
+    documents = documents.withColumn("text", F.col("text").cast("string"))
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            text, size = batch.schema.get_field_index("text"), batch.schema.get_field_index("n_chars")
+            for part in runs(batch, "text", TOGETHER):
+                old = part["text"].to_pylist()
+                new = [t and without_secrets(t, mark) for t in old]
+                hit = [a is not b for a, b in zip(old, new)]
+                if any(hit):
+                    counts = [len(t) if changed else n for changed, t, n in zip(hit, new, part["n_chars"].to_pylist())]
+                    columns = list(part.columns)
+                    columns[text], columns[size] = pa.array(new, part["text"].type), pa.array(counts, part["n_chars"].type)
+                    part = pa.RecordBatch.from_arrays(columns, schema=part.schema)
+                yield part
+
+    return documents.mapInArrow(clean, documents.schema)
