@@ -5,7 +5,8 @@ from collections import Counter
 import helpers
 from pyspark.sql import functions as F
 
-from salescast.llm.quality import features, jensen_shannon, quality, references
+from salescast.llm import quality as rules
+from salescast.llm.quality import common_words, jensen_shannon, quality
 
 
 def plain(text):
@@ -63,7 +64,7 @@ def test_common_words_of_any_length(spark):
     rng = random.Random(8)
     words = ["nicht", "werden", "zwischen", "Verantwortlichkeiten", "und"]
     docs = [(i, " ".join(rng.choice(words) + f" w{i}x{k}" for k in range(60))) for i in range(20)]
-    (row,) = references(features(helpers.documents(spark, docs))).collect()
+    (row,) = common_words(helpers.documents(spark, docs)).collect()
     often = Counter(w.lower() for _, t in docs for w in t.split())
     n = sum(often.values())
     want = {w: c / n for w, c in often.items() if c >= 0.005 * n}
@@ -71,3 +72,48 @@ def test_common_words_of_any_length(spark):
     odd = [(900, " ".join(f"y{k} z{k}" for k in range(200)))]  # none of the common words, which are mostly long
     kept = {r.doc_id: r.word_distance for r in quality(helpers.documents(spark, docs + odd)).collect()}
     assert kept[900] > 0.5 > max(d for i, d in kept.items() if i != 900)
+
+
+def verdicts(docs):
+    """Both distances and the verdict of (doc_id, text) rows of one language, written out."""
+    marks = {"upper": set("ABCDEFGHIJKLMNOPQRSTUVWXYZ"), "digit": set("0123456789"), "stop": set(".,;:?!'\"()-"), "symbol": set("#*$%&|<>")}
+
+    def histogram(text):
+        counts = [sum(c in own for c in text) for own in marks.values()]
+        counts += [sum(c in " \t\n\x0b\f\r" for c in text), len(text.encode()) - len(text)]
+        return [*counts, len(text.encode()) - sum(counts)]
+
+    def distance(p, q):
+        half = lambda x, y: sum(u * math.log2(2 * u / (u + v)) for u, v in zip(x, y) if u > 0)
+        return math.sqrt(max(0.0, (half(p, q) + half(q, p)) / 2))
+
+    texts = [t or "" for _, t in docs]
+    sums = [sum(column) for column in zip(*map(histogram, texts))]
+    chars = [s / max(1, sum(len(t.encode()) for t in texts)) for s in sums]
+    often = Counter(w.lower() for t in texts for w in helpers.SPACED.findall(t))
+    common = {w: n / often.total() for w, n in sorted(often.items()) if n >= rules.COMMON * often.total()}
+    out = []
+    for (i, _), text in zip(docs, texts):
+        words, size = [w.lower() for w in helpers.SPACED.findall(text)], len(text.encode())
+        char = word = None
+        if size >= rules.LEAST_BYTES:
+            char = distance([c / size for c in histogram(text)], chars)
+        if len(words) >= rules.LEAST_WORDS and common:
+            own = [words.count(w) / len(words) for w in common]
+            word = distance([*own, 1 - sum(own)], [*common.values(), 1 - sum(common.values())])
+        far = (char is not None and char > rules.CHAR_LIMIT + rules.CHAR_NOISE / math.sqrt(size)
+               or word is not None and word > rules.WORD_LIMIT + rules.WORD_NOISE / math.sqrt(len(words)))
+        out.append((i, char, word, not plain(text)[5] and not far))
+    return out
+
+
+def test_verdict_equals_brute_force(spark):
+    clean, docs = made()
+    rng = random.Random(11)
+    docs += [(200 + i, " ".join(rng.choice(["the", "of", "X9#", "||", "zé", "AND", "12", f"u{k}"]) for k in range(rng.randint(5, 200)))) for i in range(60)]
+    docs += [(900, None), (901, ""), (902, "w " * 3000), (903, "Same words here. " * 4)]
+    got = {r.doc_id: r for r in quality(helpers.documents(spark, docs)).collect()}
+    near = lambda a, b: a is b is None or abs(a - b) < 1e-9
+    for i, char, word, kept in verdicts(docs):
+        assert near(got[i].char_distance, char) and near(got[i].word_distance, word) and got[i].kept == kept
+    assert 0 < sum(r.kept for r in got.values()) < len(got)
