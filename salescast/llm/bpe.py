@@ -157,21 +157,26 @@ class Codec(dict):
                 heapq.heappush(heap, (rank, left, to))
         return [self.ranks[piece[i: end[i]]] for i in range(size) if end[i]]
 
+    def found(self, texts: list[str]) -> list[list[str]]:
+        """The pre-tokens of each text, all of them learnt."""
+        out = list(map(self.pattern.findall, texts))
+        self.learn(set(chain.from_iterable(out)))
+        return out
+
     def all_ids(self, texts: list[str]) -> Iterator[array]:
         """The ids of each text."""
-        found = list(map(self.pattern.findall, texts))
-        self.learn(set(chain.from_iterable(found)))
-        for tokens in found:
+        for tokens in self.found(texts):
             yield array("i", list(chain.from_iterable(map(self.__getitem__, tokens))))
 
+    def all_pieces(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Of each text, where each pre-token begins, how many ids it has, and all ids."""
+        for tokens in self.found(texts):
+            size = np.fromiter(map(len, tokens), np.int64, len(tokens))
+            ids = list(map(self.__getitem__, tokens))
+            yield (np.cumsum(size) - size, np.fromiter(map(len, ids), np.int64, len(ids)), np.fromiter(chain.from_iterable(ids), np.int32))
+
     def pieces(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Where each pre-token begins, how many ids it has, and all ids."""
-        found = self.pattern.findall(text)
-        self.learn(set(found))
-        size = np.fromiter(map(len, found), np.int64, len(found))
-        ids = [self[token] for token in found]
-        return (np.cumsum(size) - size, np.fromiter(map(len, ids), np.int64, len(ids)),
-                np.fromiter(chain.from_iterable(ids), np.int32))
+        return next(self.all_pieces([text]))
 
 
 _kept: Codec | None = None
@@ -258,12 +263,12 @@ def _over_texts(documents: DataFrame, ranks: dict[bytes, int], pattern: str, chu
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(known.value)
         for batch in batches:
-            for i in range(batch.num_rows):
-                starts, counts, ids = codec.pieces(batch["text"][i].as_py())
-                row = batch.slice(i, 1)
-                new = [starts.astype("<u4").tobytes(), counts.astype("<u4").tobytes(), ids.astype("<i4").tobytes()]
-                yield pa.RecordBatch.from_arrays([*row.columns, *(pa.array([x], pa.binary()) for x in new)],
-                                                 [*row.schema.names, "starts", "counts", "ids"])
+            for some in runs(batch, "text", TOGETHER):
+                for i, (starts, counts, ids) in enumerate(codec.all_pieces(some["text"].to_pylist())):
+                    row = some.slice(i, 1)
+                    new = [starts.astype("<u4").tobytes(), counts.astype("<u4").tobytes(), ids.astype("<i4").tobytes()]
+                    yield pa.RecordBatch.from_arrays([*row.columns, *(pa.array([x], pa.binary()) for x in new)],
+                                                     [*row.schema.names, "starts", "counts", "ids"])
 
     def join(parts: pa.Table) -> pa.Table:
         parts, codec = parts.sort_by("number"), _codec(known.value)
