@@ -71,7 +71,9 @@ def encode_labels(df: DataFrame, labels: LabelMap, columns: list[str] = CATEGORI
     The mapping has a row per label and salt, each once, so Catalyst drops the join of a column that is not used, and a
     common label is dealt out where the mapping is too large for a broadcast.
     """
-    df = df.withColumn("_row_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALT)))
+    # Any even spread will do; hashing more columns would keep them all in the plan.
+    spread = [c for c in ("store", "sale_date") if c in df.columns] or df.columns
+    df = df.withColumn("_row_salt", F.pmod(F.xxhash64(*spread), F.lit(SALT)))
     salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALT - 1).cast("long")))
     for column in columns:
         if column not in df.columns:

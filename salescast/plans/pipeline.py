@@ -11,13 +11,14 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salescast.operators.enrich import enrich_store
+from salescast.operators.enrich import duplicate_keys, enrich_store
 from salescast.operators.features import available_features, feature_matrix
-from salescast.operators.forecast import forecast_table, zero_closed
+from salescast.operators.forecast import forecast_table
 from salescast.operators.models import SalesModel
 from salescast.operators.profile import cleaning_audit, dataset_summary
 from salescast.operators.split import with_split
-from salescast.plans.preprocess import Fitted, HorizonProfile, preprocess_horizon, preprocess_train, profile_horizon
+from salescast.plans.artefact import Forecaster
+from salescast.plans.preprocess import Fitted, HorizonProfile, preprocess_train, profile_horizon
 from salescast.plans.report import evaluation_report
 from salescast.plans.train import Trained, train_all
 from salescast.session import materialize, small_table
@@ -44,27 +45,30 @@ class Result:
 def training_data(
     sales: DataFrame, stores: DataFrame, validation_weeks: int | None = 6, required: list[str] | None = None
 ) -> tuple[DataFrame, Fitted, list[str]]:
-    """Features, target and split of all usable sales rows, written once to the shared folder.
+    """Features, target and split of all usable sales rows, written once to the shared folder, a part for each side of the split.
 
-    Every model scans this narrow table, not the raw input. Rows without a date are on neither side.
+    Every model scans this narrow table, not the raw input, and of it only its own side. Rows without a date are on neither side.
     """
     processed, fitted = preprocess_train(sales, stores, required)
     features = available_features(processed)
     split = with_split(processed, fitted.split_date(validation_weeks)).where(F.col("split").isNotNull())
-    return materialize(feature_matrix(split, features, keep=("split",)), "features"), fitted, features
+    return materialize(feature_matrix(split, features, keep=("split",)), "features", by=("split",)), fitted, features
 
 
 def score_horizon(
     horizon: DataFrame, stores: DataFrame, fitted: Fitted, model: SalesModel, profile: HorizonProfile | None = None
 ) -> DataFrame:
     """The horizon rows with ``yhat``, zero on closed days."""
-    return zero_closed(model.predict(preprocess_horizon(horizon, stores, fitted, profile=profile)))
+    return Forecaster(fitted, model).score(horizon, stores, profile)
 
 
 def audit_table(
-    sales: DataFrame, data: DataFrame, trained: Trained, cut: dt.date, horizon: HorizonProfile | None = None
+    sales: DataFrame, stores: DataFrame, data: DataFrame, trained: Trained, cut: dt.date, horizon: HorizonProfile | None = None
 ) -> DataFrame:
-    """(audit, item, value as text): one small table from a scan of the sales and one of the features."""
+    """(audit, item, value as text): one small table from a scan of the sales and one of the features.
+
+    Keys found more than once in the stores multiply sales; their number and the rows that they add are audited where there are any.
+    """
     counts = cleaning_audit(sales).first()
     rows = [("cleaning", k, str(v)) for k, v in counts.asDict().items()]
     missing = [f.name for f in data.schema.fields]
@@ -73,6 +77,8 @@ def audit_table(
     left = {c: sum(r[c] for r in sides) for c in missing if c != "split"}
     rows += [("nulls", c, str(n)) for c, n in left.items() if n]
     rows += [("split", f"{r.split}_rows", str(r.rows)) for r in sides] + [("split", "split_date", str(cut))]
+    doubled = duplicate_keys(sales, stores).agg(F.count(F.lit(1)).alias("keys"), F.sum("extra_rows").alias("extra_rows")).first()
+    rows += [("duplicate_stores", k, str(v)) for k, v in doubled.asDict().items()] if doubled["keys"] else []
     rows += [("horizon", "rows", str(horizon.rows))] if horizon else []
     rows += [("failed_model", r.model, r.error) for r in trained.runs.where("error is not null").collect()]
     return small_table(data.sparkSession, rows, audit="string", item="string", value="string")
@@ -99,7 +105,7 @@ def forecast_sales(
     if horizon is not None and trained.best_fitted is not None:
         forecast = forecast_table(score_horizon(horizon, stores, fitted, trained.best_fitted, profile))
     summary = dataset_summary(enrich_store(sales, stores), "Merged Training Data")
-    audits = audit_table(sales, data, trained, fitted.split_date(validation_weeks), profile)
+    audits = audit_table(sales, stores, data, trained, fitted.split_date(validation_weeks), profile)
     return Result(summary, audits, fitted, features, data, trained, report, forecast)
 
 
@@ -124,7 +130,7 @@ def run_pipeline(
     model_names: list[str] | None = None,
     params: dict[str, dict[str, Any]] | None = None,
 ) -> Result:
-    """Run on a folder of CSV files and write models, report and forecast below ``output_dir``."""
+    """Run on a folder of CSV files and write models, report, forecast and the best model's forecaster below ``output_dir``."""
     sales = readers.read_sales(spark, f"{data_dir}/{readers.SALES_FILE}")
     stores = readers.read_store(spark, f"{data_dir}/{readers.STORE_FILE}")
     horizon = _horizon_or_none(spark, data_dir) if generate_forecast else None
@@ -135,6 +141,8 @@ def run_pipeline(
     write_report(result.report, f"{output_dir}/evaluation_report")
     write_report(result.audits, f"{output_dir}/audits")
     write_report(result.summary, f"{output_dir}/summary")
+    if result.trained.best_fitted is not None:
+        Forecaster(result.fitted, result.trained.best_fitted).save(f"{output_dir}/forecaster")
     if result.forecast is not None:
         write_forecast(result.forecast, f"{output_dir}/forecast", expected_rows=profile.rows)
     return result

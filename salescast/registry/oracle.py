@@ -497,6 +497,25 @@ select least(5000, count(*)) as rows, cast(0 as bigint) as strange, true as boun
     "score_horizon": f"""
 select id, open, round(case when open = 0 then 0 else {_predicted_line('h')} end, 3) as yhat
 from features_horizon h cross join line""",
+    "saved_forecaster": f"""
+select id, open, round(case when open = 0 then 0 else {_predicted_line('h')} end, 3) as yhat
+from features_horizon h cross join line""",
+    "duplicate_keys": """
+select store, copies, fact_rows, fact_rows * (copies - 1) as extra_rows
+from (select store, 1 + cast(store % 13 = 0 as bigint) + cast(store % 26 = 0 as bigint) as copies from store) s
+join (select store, count(*) as fact_rows from sales_train group by store) f using (store) where copies > 1""",
+    "tune_time_folds": """
+select 'LinearRegression' as model, parameters, fold,
+  round(sqrt(avg(((sales - greatest(0, base + slope * promo)) / sales) * ((sales - greatest(0, base + slope * promo)) / sales))), 6) as rmspe
+from (select fold, cut, until, unnest(['{}', '{"fitIntercept": false}']) as parameters,
+    unnest([covar_pop(y, x) / var_pop(x), sum(x * y) / sum(x * x)]) as slope,
+    unnest([avg(y) - covar_pop(y, x) / var_pop(x) * avg(x), 0.0]) as base
+  from (select fold, cast(last - (4 - fold) * 42 as date) as cut, cast(case when fold < 3 then last - (3 - fold) * 42 else last + 1 end as date) as until
+    from (select max(sale_date) as last from clean) d, (select cast(unnest([1, 2, 3]) as integer) as fold) n) f
+  join (select sale_date, cast(sales as double) as y, cast(promo as double) as x from clean) t on t.sale_date < f.cut
+  group by fold, cut, until) m
+join clean c on c.sale_date >= m.cut and c.sale_date < m.until
+group by parameters, fold""",
     "zero_closed": f"select id, coalesce(open, 1.0) as open, {_round('yhat')} from baseline_horizon",
     "forecast_table": "select id, round(yhat, 6) as sales from baseline_horizon",
     "comparison_long": """

@@ -17,12 +17,14 @@ from salescast.functions.errors import METRICS, error_measures
 from salescast.operators import clean, diagnostics, encode, evaluate, features, forecast, importance, impute, profile
 from salescast.operators import split as splits
 from salescast.operators.baseline import fit_mean_baseline
-from salescast.operators.enrich import enrich_store
+from salescast.operators.enrich import duplicate_keys, enrich_store
 from salescast.operators.models import SalesModel, available_models, create_model
+from salescast.plans.artefact import Forecaster, load_forecaster
 from salescast.plans.pipeline import forecast_sales, score_horizon, training_data
 from salescast.plans.preprocess import preprocess_horizon, preprocess_train
 from salescast.plans.report import evaluation_report
 from salescast.plans.train import Trained, predict_all, train_all
+from salescast.plans.tune import time_folds, tune
 from salescast.registry.inputs import importance_input
 from salescast.session import gathered, materialize, scratch_path, small_table
 from salescast.sources import derived, readers, schemas, writers
@@ -243,6 +245,14 @@ def split_audit(spark, sf):
     return profile.split_audit(data, splits.split_date(data))
 
 
+@query
+def duplicate_keys_query(spark, sf):
+    """Keys found twice or three times in the stores, and the sales rows that the join adds; every 13th store is listed again."""
+    known = stores(spark, sf)
+    listed = known.unionByName(known.where("store % 13 = 0")).unionByName(known.where("store % 26 = 0"))
+    return duplicate_keys(sales(spark, sf), listed)
+
+
 # Filters and imputation -----------------------------------------------------------------------------------
 
 
@@ -458,6 +468,25 @@ def train_all_query(spark, sf):
     return fit_facts(spark, sf, *available_models()).select("model", "split", "rows", "beats_mean")
 
 
+@query
+def tune_time_folds(spark, sf):
+    """The linear model on promotions with and without intercept, scored on three rolling folds of six weeks."""
+    data = materialize(clean.clean(sales(spark, sf)).select("sale_date", "sales", "promo"), "tune")
+    first, last = data.agg(F.min("sale_date"), F.max("sale_date")).first()
+    search = tune(data, "linear_regression", [{}, {"fitIntercept": False}], time_folds(first, last), ["promo"])
+    return rounded(search.scores)
+
+
+@query
+def saved_forecaster(spark, sf):
+    """The horizon scored by a forecaster that was saved and loaded."""
+    data, fitted, _ = training_data(stored_sales(spark, sf), stores(spark, sf))
+    path = scratch_path(spark, "forecaster")
+    Forecaster(fitted, linear_fit(data)).save(path)
+    scored = load_forecaster(spark, path).score(horizon(spark, sf), stores(spark, sf))
+    return rounded(scored.select("id", "open", "yhat"), 3)
+
+
 @query
 def mean_baseline(spark, sf):
     return rounded(keyed(baseline_wide(spark, sf), "split", F.col("by_group").alias("yhat")))

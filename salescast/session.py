@@ -22,6 +22,7 @@ def local_session(app: str = "salescast", cores: int | str = "*", partitions: in
         .config("spark.driver.memory", "16g")
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.scheduler.mode", "FAIR")
         .getOrCreate()
     )
 
@@ -96,13 +97,20 @@ def release(spark: SparkSession) -> None:
     _delete(spark, spark._jsc.hadoopConfiguration(), _run_folder(spark))
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     The result survives lost executors, is not recomputed, and carries its true size, so that Catalyst
-    decides from a measured number whether a later join may broadcast it.
+    decides from a measured number whether a later join may broadcast it. With ``by``, rows lie in a folder for each value, so
+    that a filter on it reads only what it needs.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.option("compression", "zstd").partitionBy(*by).parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+def written(spark: SparkSession, path: str) -> DataFrame | None:
+    """The Parquet table at ``path`` if its write has ended, else None."""
+    mark = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return spark.read.parquet(path) if mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark) else None

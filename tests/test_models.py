@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from salescast.operators import models
 from salescast.operators.models import SalesModel, create_model
 from salescast.plans import pipeline
+from salescast.plans.artefact import Forecaster, load_forecaster
 from salescast.plans.preprocess import preprocess_horizon, preprocess_train
 from salescast.plans.train import train_all
+from salescast.plans.tune import time_folds, tune
 from salescast.sources import derived, readers, writers
 
 # Sizes for tests of what surrounds the models.
@@ -215,3 +217,121 @@ def test_an_earlier_forecast_stays_if_rows_are_missing(spark, tmp_path):
     with pytest.raises(ValueError, match="2 forecast rows for 1"):
         writers.write_forecast(old.unionByName(old), str(tmp_path / "f"), 1)
     assert spark.read.csv(str(tmp_path / "f"), header=True).count() == 1
+
+
+def test_a_forest_is_the_mean_of_its_groups(spark):
+    df = table(spark)
+    model = create_model("random_forest", {"numTrees": 11, "maxDepth": 3, "maxBins": 64}).fit(df, ["a", "b", "c"])
+    trees = [tree for group in model.regressors for tree in group.trees]
+    assert len(trees) == 11 and len(model.regressors) == models.FOREST_GROUPS
+    row = model.assemble(df).orderBy("a").first()
+    got = model.predict(df).orderBy("a").first().yhat
+    assert got == pytest.approx(sum(tree.predict(row.features) for tree in trees) / 11)
+    assert sum(model.importance_values()) == pytest.approx(1)
+
+
+def test_boosting_in_segments_goes_on_where_it_stopped(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(models, "SEGMENT_ROUNDS", 4)
+    df, params = table(spark), {"maxIter": 10, "maxDepth": 3, "stepSize": 0.3, "maxBins": 64, "subsamplingRate": 1.0, "featureSubsetStrategy": "all"}
+    whole = create_model("boosted_deep", params).fit(df, ["a", "b", "c"])
+    assert [r.getNumTrees for r in whole.regressors] == [4, 4, 2]
+    sizes, fit = [], models.GBTRegressor.fit
+
+    def limited(self, rows):
+        if len(sizes) == 2:
+            raise RuntimeError("stopped")
+        sizes.append(self.getMaxIter())
+        return fit(self, rows)
+
+    monkeypatch.setattr(models.GBTRegressor, "fit", limited)
+    folder = str(tmp_path / "state")
+    with pytest.raises(RuntimeError, match="stopped"):
+        create_model("boosted_deep", params).fit(df, ["a", "b", "c"], resume=folder)
+    assert sizes == [4, 4]
+    monkeypatch.setattr(models.GBTRegressor, "fit", lambda self, rows: sizes.append(self.getMaxIter()) or fit(self, rows))
+    again = create_model("boosted_deep", params).fit(df, ["a", "b", "c"], resume=folder)
+    assert sizes == [4, 4, 2]  # only what was missing
+    key = lambda m: [r.yhat for r in m.predict(df).orderBy("a").collect()]
+    assert key(again) == pytest.approx(key(whole))
+    assert create_model("boosted_deep", params).fit(df, ["a", "b", "c"], resume=folder).is_fitted and sizes == [4, 4, 2]
+    with pytest.raises(ValueError, match="another fit"):
+        create_model("boosted_deep", {**params, "maxDepth": 2}).fit(df, ["a", "b", "c"], resume=folder)
+    path = str(tmp_path / "saved")
+    again.save(path)
+    assert key(SalesModel("boosted_deep").load(path)) == pytest.approx(key(again))
+
+
+def test_later_segments_reduce_the_error(spark, monkeypatch):
+    monkeypatch.setattr(models, "SEGMENT_ROUNDS", 5)
+    df = table(spark)
+    errors = []
+    for rounds in (5, 10, 15):
+        model = create_model("boosted_leaf", {"maxIter": rounds, "maxDepth": 3, "maxBins": 64}).fit(df, ["a", "b", "c"])
+        errors.append(model.predict(df).agg(F.avg((F.col("sales") - F.col("yhat")) ** 2)).first()[0])
+    assert errors[0] > errors[1] > errors[2]
+
+
+def test_fits_at_once_keep_the_callers_properties(spark):
+    context = spark.sparkContext
+    context.setLocalProperty("spark.jobGroup.id", "mine")
+    try:
+        groups = models.at_once(spark, [lambda: context.getLocalProperty("spark.jobGroup.id")] * 3)
+        pools = models.at_once(spark, [lambda: context.getLocalProperty("spark.scheduler.pool")] * 2)
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert groups == ["mine"] * 3 and len(set(pools)) == 2 and models.at_once(spark, []) == []
+    with pytest.raises(ZeroDivisionError):
+        models.at_once(spark, [lambda: 1, lambda: 1 // 0])
+
+
+def test_a_saved_forecaster_scores_alike(spark, sf_dir, tmp_path):
+    sales, stores = derived.sales_table(spark, sf_dir), derived.store_table(spark, sf_dir)
+    horizon = derived.horizon_table(spark, sf_dir)
+    data, fitted, inputs = pipeline.training_data(sales, stores)
+    for name in ("linear_regression", "random_forest"):
+        model = create_model(name, SMALL.get(name)).fit(data.where("split = 'train'"), inputs)
+        path = str(tmp_path / name)
+        Forecaster(fitted, model).save(path)
+        other = load_forecaster(spark.newSession(), path)
+        assert (other.fitted.distance_median, other.fitted.first_date, other.fitted.last_date) == (
+            fitted.distance_median, fitted.first_date, fitted.last_date)
+        rows = lambda df: {r.id: r.yhat for r in df.select("id", "yhat").collect()}
+        expected = rows(pipeline.score_horizon(horizon, stores, fitted, model))
+        assert rows(other.score(horizon, stores)) == pytest.approx(expected)
+    with pytest.raises(ValueError, match="no whole forecaster"):
+        load_forecaster(spark, str(tmp_path / "absent"))
+
+
+def test_time_folds_and_search(spark):
+    first, last = dt.date(2020, 1, 1), dt.date(2020, 12, 31)
+    folds = time_folds(first, last, 2, 4)
+    assert [(f.cut, f.until) for f in folds] == [(dt.date(2020, 11, 5), dt.date(2020, 12, 3)), (dt.date(2020, 12, 3), None)]
+    with pytest.raises(ValueError, match="more than the days"):
+        time_folds(first, last, 9, 6)
+    rows = [(first + dt.timedelta(days=i), float(i % 2), 1.0 + 3 * (i % 2)) for i in range(366)]
+    data = spark.createDataFrame(rows, "sale_date date, x double, sales double")
+    search = tune(data, "linear_regression", [{"fitIntercept": False}, {}], folds, ["x"])
+    scores = {(r.parameters, r.fold): r.rmspe for r in search.scores.collect()}
+    assert len(scores) == 4 and search.best == {} and scores["{}", 1] == pytest.approx(0, abs=1e-9)
+    assert scores['{"fitIntercept": false}', 2] > 0.5
+
+
+def test_fits_read_only_their_side(spark, sf_dir):
+    data, _, _ = pipeline.training_data(derived.sales_table(spark, sf_dir), derived.store_table(spark, sf_dir))
+    plan = data.where("split = 'train'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(split" in plan
+    assert data.where("split = 'train'").count() + data.where("split = 'validation'").count() == data.count()
+
+
+def test_duplicate_stores_are_audited(spark, sf_dir):
+    from salescast.operators.enrich import duplicate_keys
+
+    sales, stores = derived.sales_table(spark, sf_dir), derived.store_table(spark, sf_dir)
+    assert duplicate_keys(sales, stores).count() == 0
+    doubled = stores.unionByName(stores.where("store = 3")).unionByName(stores.where("store = 3").withColumn("store", F.lit(None).cast("int")))
+    (row,) = duplicate_keys(sales, doubled).collect()
+    n = sales.where("store = 3").count()
+    assert (row.store, row.copies, row.fact_rows, row.extra_rows) == (3, 2, n, n)
+    result = pipeline.forecast_sales(sales, doubled, model_names=["linear_regression"])
+    audits = {r.item: r.value for r in result.audits.where("audit = 'duplicate_stores'").collect()}
+    assert audits == {"keys": "1", "extra_rows": str(n)}
