@@ -28,20 +28,21 @@ LICENCES = {
     "apache-2": ("apache", r"(?:the )?apache(?: software)? licen[cs]e,?(?: \(?(?:v|version|ver\.?) ?2(?:\.0)?\)?)|apache[ -]?2(?:\.0)?",
                  r"apache-2\.0", r"apache\.org/licenses/license-2\.0", [
                      ("unless required by applicable law", r"unless required by applicable law or agreed to in writing")]),
+    "apache": ("apache", r"(?:the )?apache(?: software)? licen[cs]e", r"apache", r"apache\.org/licenses/?(?![\w/])", []),
     "apache-1": ("apache", r"(?:the )?apache(?: software)? licen[cs]e,? (?:v|version) ?1(?:\.[01])?", r"apache-1\.[01]",
                  r"apache\.org/licenses/license-1\.[01]", []),
-    "gpl-3": ("general public|gplv3", r"(?:the )?(?:gnu )?general public licen[cs]e,?(?: \(?gpl\)?)?,? (?:v|version|ver\.?) ?3(?:\.0)?|gplv3",
+    "gpl-3": ("general public|gpl", r"(?:the )?(?:gnu )?general public licen[cs]e,?(?: \(?gpl\)?)?,? (?:v|version|ver\.?) ?3(?:\.0)?|(?:gnu )?gpl ?v?3(?:\.0)?",
               r"gpl-3\.0(?:-only|-or-later|\+)?", r"gnu\.org/licenses/gpl-3\.0", []),
-    "gpl-2": ("general public", r"(?:the )?(?:gnu )?general public licen[cs]e,?(?: \(?gpl\)?)?,? (?:v|version|ver\.?) ?2(?:\.0)?",
+    "gpl-2": ("general public|gpl", r"(?:the )?(?:gnu )?general public licen[cs]e,?(?: \(?gpl\)?)?,? (?:v|version|ver\.?) ?2(?:\.0)?|(?:gnu )?gpl ?v?2(?:\.0)?",
               r"gpl-2\.0(?:-only|-or-later|\+)?", r"gnu\.org/licenses/(?:old-licenses/)?gpl-2\.0", []),
     "gpl": ("general public", r"(?:the )?(?:gnu )?general public licen[cs]e", r"gpl", r"gnu\.org/licenses/gpl", [
         ("free software foundation", r"under the terms of the gnu general public license as published by the free software foundation")]),
-    "lgpl-3": ("general public", r"(?:the )?(?:gnu )?lesser general public licen[cs]e,? (?:v|version) ?3(?:\.0)?",
+    "lgpl-3": ("general public|lgpl", r"(?:the )?(?:gnu )?lesser general public licen[cs]e,? (?:v|version) ?3(?:\.0)?|(?:gnu )?lgpl ?v?3(?:\.0)?",
                r"lgpl-3\.0(?:-only|-or-later|\+)?", r"gnu\.org/licenses/lgpl-3\.0", []),
-    "lgpl-2.1": ("general public", r"(?:the )?(?:gnu )?(?:lesser|library) general public licen[cs]e,? (?:v|version) ?2(?:\.[01])?",
+    "lgpl-2.1": ("general public|lgpl", r"(?:the )?(?:gnu )?(?:lesser|library) general public licen[cs]e,? (?:v|version) ?2(?:\.[01])?|(?:gnu )?lgpl ?v?2(?:\.[01])?",
                  r"lgpl-2\.[01](?:-only|-or-later|\+)?", r"gnu\.org/licenses/(?:old-licenses/)?lgpl-2\.1", []),
     "lgpl": ("general public", r"(?:the )?(?:gnu )?(?:lesser|library) general public licen[cs]e", r"lgpl", r"gnu\.org/licenses/lgpl", []),
-    "agpl-3": ("affero", r"(?:the )?(?:gnu )?affero general public licen[cs]e(?:,? (?:v|version) ?3(?:\.0)?)?",
+    "agpl-3": ("affero|agpl", r"(?:the )?(?:gnu )?affero general public licen[cs]e(?:,? (?:v|version) ?3(?:\.0)?)?|(?:gnu )?agpl ?v?3(?:\.0)?",
                r"agpl-3\.0(?:-only|-or-later|\+)?", r"gnu\.org/licenses/agpl", []),
     "gfdl": ("free documentation", r"(?:the )?gnu free documentation licen[cs]e(?:,? (?:v|version) ?1\.[123])?",
              r"gfdl-1\.[123](?:-only|-or-later)?", r"gnu\.org/licenses/fdl", []),
@@ -68,7 +69,7 @@ LICENCES = {
         ("altered source versions", r"altered source versions must be plainly marked as such")]),
     "unlicense": ("unlicen", r"(?:the )?unlicen[cs]e", r"unlicense", r"unlicense\.org", [
         ("into the public domain", r"this is free and unencumbered software released into the public domain")]),
-    "wtfpl": ("what the", r"(?:the )?do what the f\w+ you want to(?: public licen[cs]e)?", r"wtfpl", r"wtfpl\.net", []),
+    "wtfpl": ("what the|wtfpl", r"(?:the )?do what the f\w+ you want to(?: public licen[cs]e)?|wtfpl", r"wtfpl", r"wtfpl\.net", []),
     "psf": ("python", r"(?:the )?python software foundation licen[cs]e|psf licen[cs]e agreement for python", r"psf-2\.0|python-2\.0",
             r"docs\.python\.org/[0-9.]+/license", []),
     "php": ("php+licen", r"(?:the )?php licen[cs]e,?(?: version 3\.01?)?", r"php-3\.01?", r"php\.net/license", []),
@@ -87,7 +88,7 @@ LICENCES = {
     "cc-by-nc": ("cc by|cc-by", r"cc[ -]by[ -]nc(?![ -](?:nd|sa))(?:[ -][1-4]\.0)?", r"cc-by-nc-[1-4]\.0", r"creativecommons\.org/licenses/by-nc/", []),
     "cc-by-nd": ("cc by|cc-by", r"cc[ -]by[ -]nd(?:[ -][1-4]\.0)?", r"cc-by-nd-[1-4]\.0", r"creativecommons\.org/licenses/by-nd", []),
     "cc-by-sa": ("cc by|cc-by", r"cc[ -]by[ -]sa(?:[ -][1-4]\.0)?", r"cc-by-sa-[1-4]\.0", r"creativecommons\.org/licenses/by-sa", []),
-    "cc-by": ("cc by|cc-by", r"cc[ -]by(?![ -](?:nc|nd|sa)\b)(?:[ -][1-4]\.0)?", r"cc-by-[1-4]\.0", r"creativecommons\.org/licenses/by/", []),
+    "cc-by": ("cc by|cc-by", r"(?:(?-i:CC)[ -](?-i:BY)|cc-by|cc by(?=[ -][1-4]\.0))(?![ -](?:nc|nd|sa)\b)(?:[ -][1-4]\.0)?", r"cc-by-[1-4]\.0", r"creativecommons\.org/licenses/by/", []),
     "ms-pl": ("microsoft", r"(?:the )?microsoft public licen[cs]e", r"ms-pl", r"opensource\.org/licenses/ms-pl", []),
     "ncsa": ("ncsa", r"(?:the )?(?:university of illinois/)?ncsa(?: open source)? licen[cs]e", r"ncsa", r"opensource\.org/licenses/ncsa", []),
     "sspl": ("server side", r"(?:the )?server side public licen[cs]e(?:,? (?:v|version) ?1)?", r"sspl-1\.0", r"mongodb\.com/licensing/server-side", []),
@@ -122,7 +123,8 @@ NAME_FORMS = [
     (40, r"(?<!\w)(?:{name})(?!\w)"),
 ]
 ID_FORMS = [
-    (100, "spdx", r"spdx-licen[cs]e-identifier:\s*(?:{name})(?![\w.+-]*\w)"),
+    # In an expression, licences before this one are passed; the match is the identifier alone, so that none contains another.
+    (100, "spdx", r"spdx-licen[cs]e-identifier:[\t\x20(]*(?:[\w.+-]+[\t\x20()]+(?:or|and|with)[\t\x20(]+)*({name})(?![\w.+-]*\w)"),
     (80, "licen", r"\"?licen[cs]e\"?\s*[:=]\s*\"?(?:{name})(?![\w.+-]*\w)"),
 ]
 

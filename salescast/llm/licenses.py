@@ -13,7 +13,9 @@ by row; a column ``licences`` is replaced.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -39,18 +41,32 @@ class Scanner:
     def matches(self, text: str) -> list[tuple[str, int, int, int]]:
         """What no heavier or longer match contains: label, start, end, weight."""
         low = " ".join(text.lower().split())
-        found = []
+        found: dict[int, list[tuple[int, int, int, str]]] = {}
         for keywords, own in self.by_keywords.items():
             if any(all(part in low for part in parts) for parts in keywords):
-                found += [(-rule.weight, m.start() - m.end(), number, m.start(), m.end(), rule.label)
-                          for number, rule in own for m in rule.pattern.finditer(text)]
+                for number, rule in own:
+                    group = 1 if rule.pattern.groups else 0
+                    places = ((*m.span(group), number, rule.label) for m in rule.pattern.finditer(text))
+                    found.setdefault(rule.weight, []).extend((start, -end, number, label) for start, end, number, label in places)
         out: list[tuple[str, int, int, int]] = []
-        for weight, _, _, start, end, label in sorted(found):
-            if not any(a <= start and end <= b for _, a, b, _ in out):
-                out.append((label, start, end, -weight))
+        for weight in sorted(found, reverse=True):
+            starts, reach = _reach(out)
+            most = -1
+            # Of one weight the longer ones come first from each start, so what lies in another one ends before the furthest end yet.
+            for start, end, _, label in sorted(found[weight]):
+                end, at = -end, bisect_right(starts, start)
+                if end > most and not (at and reach[at - 1] >= end):
+                    out.append((label, start, end, weight))
+                most = max(most, end)
         return sorted(out, key=lambda m: m[1:])
 
 
+def _reach(taken: list[tuple[str, int, int, int]]) -> tuple[list[int], list[int]]:
+    """The starts of matches in order, and the furthest end up to each."""
+    spans = sorted((start, end) for _, start, end, _ in taken)
+    return [start for start, _ in spans], list(accumulate((end for _, end in spans), max))
+
+
 def _places(words: Words) -> list[tuple[np.ndarray, str]]:
     """The words where a base phrase starts, with its label."""
     hashes, row = words.hashes(), words.rows()

@@ -19,11 +19,39 @@ SCANNER = Scanner()
     ('"license": "BSD-3-Clause"', ["bsd-3"]), ("https://www.apache.org/licenses/LICENSE-2.0", ["apache-2"]),
     ("GNU Affero General Public License", ["agpl-3"]), ("Lost mit der Mit.", []), ("admitted license", []), ("accident by nc", []),
     ("THE MIT LICENSE and the Zlib license", ["mit", "zlib"]), ("", []),
+    ("GPLv2 or later", ["gpl-2"]), ("LGPLv2.1", ["lgpl-2.1"]), ("AGPLv3", ["agpl-3"]), ("the WTFPL", ["wtfpl"]), ("GNU GPL v3", ["gpl-3"]),
+    ("SPDX-License-Identifier: (MIT OR Apache-2.0)", ["apache-2", "mit"]), ("SPDX-License-Identifier: MIT AND (ISC OR Zlib)", ["isc", "mit", "zlib"]),
+    ("// SPDX-License-Identifier: GPL-2.0-only WITH Classpath-exception-2.0 OR MIT", ["gpl-2", "mit"]),
+    ("Licensed under the Apache License", ["apache"]), ("please cc by mail", []), ("shared under CC BY 4.0", ["cc-by"]), ("CC BY, see below", ["cc-by"]),
 ])
 def test_labels(text, labels):
     assert sorted({m[0] for m in SCANNER.matches(text)}) == labels
 
 
+def test_suppression_equals_all_pairs():
+    rng = random.Random(4)
+    parts = ["licensed under the", "GNU General Public License", "version 2", "MIT License", "Apache License, Version 2.0", "GPL", "under the terms of the",
+             "all rights reserved", "SPDX-License-Identifier: MIT OR ISC", "BSD License", "\n", "text", "CC BY-NC 4.0", "Lesser"]
+    for _ in range(400):
+        text = " ".join(rng.choice(parts) for _ in range(rng.randint(1, 20)))
+        found = [(-rule.weight, m.start(g) - m.end(g), number, *m.span(g), rule.label) for number, rule in enumerate(rules())
+                 for g in [1 if rule.pattern.groups else 0] for m in rule.pattern.finditer(text)]
+        want = []
+        for weight, _, _, start, end, label in sorted(found):
+            if not any(a <= start and end <= b for _, a, b, _ in want):
+                want.append((label, start, end, -weight))
+        assert SCANNER.matches(text) == sorted(want, key=lambda m: m[1:])
+
+
+def test_many_matches_in_one_text_take_linear_time():
+    import time
+
+    SCANNER.matches("All rights reserved. " * 1000)
+    start = time.process_time()
+    found = SCANNER.matches("All rights reserved.\n" * 100_000)
+    assert len(found) == 100_000 and time.process_time() - start < 20
+
+
 def test_hundreds_of_ordered_rules():
     found = rules()
     assert len(found) > 300 and [r.weight for r in found] == sorted((r.weight for r in found), reverse=True)
