@@ -6,7 +6,7 @@ of a space and itself, so that pieces never cross words; a text is its words and
 product of theirs, and a word's comes from one forward recursion in log space per distinct word of the corpus.
 
 Texts are turned once into blocks of word numbers, each block with its own list of distinct words. Only these lists are
-shuffled: a word meets in one place once per block, whatever its frequency, and its count and score go back to the blocks.
+shuffled, once to count words and once for the join that brings each word's count and score, made once, back to the blocks.
 
 Edge cases: null and empty texts are one end token. Without training documents all pieces weigh the same and all counts are
 0. A null doc_id counts as a training document. Repeated rows count and are answered row by row. Texts of any length are
@@ -118,8 +118,7 @@ def lattice_scores(documents: DataFrame, ranks: dict[bytes, int], held_out: Colu
     pieces = [p for p, _ in sorted(ranks.items(), key=lambda x: x[1])]
     blocks = _blocks(documents, held_out, block)
     lists = blocks.select("block", F.posexplode("words").alias("place", "w")).select("block", "place", "w.word", "w.n")
-    counts = materialize(lists.groupBy("word").agg(F.sum("n").alias("n"),
-                                                   F.collect_list(F.struct("block", "place")).alias("places")), "words")
+    counts = materialize(lists.groupBy("word").agg(F.sum("n").alias("n")), "words")
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"), F.count_if(F.col("n") > 0).alias("kinds")).first()
     ends = blocks.select(F.sum(F.size(F.filter("held_out", lambda h: ~h)).cast("long")).alias("n")).first().n or 0
     logs, end = _estimate(counts, pieces, ends, rounds)
@@ -131,9 +130,10 @@ def lattice_scores(documents: DataFrame, ranks: dict[bytes, int], held_out: Colu
         for batch in words:
             yield pa.array(lattice.log_probability([b" " + w for w in batch.to_pylist()]) / np.log(10))
 
-    values = (counts.select("n", "places", score("word").alias("log10"))
-              .select("n", "log10", F.explode("places").alias("at"))
-              .select("at.block", "at.place", "n", "log10"))
+    # Every word is scored once. Joined back, a common word has a row for each block; adaptive execution splits such words.
+    scored = materialize(counts.select("word", "n", score("word").alias("log10")), "word-scores")
+    own = lists.select(F.col("block").alias("of"), "place", "word")  # another name than that of the blocks it goes back to
+    values = own.join(scored, "word").select("of", "place", "n", "log10")
     tokens, kinds = total.tokens + ends, total.kinds + (ends > 0)
 
     def finish(rows: pa.Table, words: pa.Table) -> pa.Table:
@@ -162,4 +162,4 @@ def lattice_scores(documents: DataFrame, ranks: dict[bytes, int], held_out: Colu
                                              ("base_score", pa.float64()), ("score", pa.float64()))})
 
     return (blocks.select("block", "ids", "held_out", "first", "seen", "numbers").groupBy("block")
-            .cogroup(values.groupBy("block")).applyInArrow(finish, SCORES))
+            .cogroup(values.groupBy("of")).applyInArrow(finish, SCORES))

@@ -88,3 +88,34 @@ def test_long_pieces_of_the_whole_vocabulary(spark):
     got = lattice_scores(helpers.documents(spark, list(enumerate(words))), ranks, F.lit(True), rounds=0).collect()
     end = {round(r.score - want[words[r.doc_id]], 6) for r in got}
     assert len(got) == len(words) and end == {0.0}
+
+
+def segmentations(word, pieces):
+    if not word:
+        yield ()
+    for k in range(1, len(word) + 1):
+        if word[:k] in pieces:
+            for rest in segmentations(word[k:], pieces):
+                yield (word[:k], *rest)
+
+
+def test_scores_after_one_round_equal_enumeration(spark):
+    rng = random.Random(6)
+    docs = [(i, " ".join(rng.choice(["ab", "abc", "é", "a", "bcab"]) for _ in range(rng.randint(0, 12)))) for i in range(50)] + [(99, None)]
+    pieces = sorted(RANKS, key=RANKS.get)
+    first = 1 / (np.arange(len(pieces)) + 256.0)
+    chance = dict(zip(pieces, first / first.sum()))
+    counts = Counter(b" " + w.encode() for i, text in docs if not held(i) for w in helpers.spaced(text))
+    ends = sum(not held(i) for i, _ in docs)
+    mass = dict.fromkeys(pieces, 1.0)
+    for word, n in counts.items():
+        ways = [(math.prod(chance[p] for p in way), way) for way in segmentations(word, chance)]
+        for p, way in ways:
+            for piece in way:
+                mass[piece] += n * p / sum(q for q, _ in ways)
+    whole = sum(mass.values()) + ends + 1
+    chance = {p: m / whole for p, m in mass.items()}
+    want = {i: sum(math.log10(sum(math.prod(chance[p] for p in way) for way in segmentations(b" " + w.encode(), chance)))
+                   for w in helpers.spaced(text)) + math.log10((ends + 1) / whole) for i, text in docs}
+    got = lattice_scores(helpers.documents(spark, docs).repartition(3), RANKS, F.crc32(F.col("doc_id").cast("string")) % 7 == 2, block=200)
+    assert {r.doc_id: r.score for r in got.collect()} == pytest.approx(want, rel=1e-9)
