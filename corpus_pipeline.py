@@ -42,7 +42,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates (similarity of 0.8 and more) the document with the smallest id stays, one without an id last of all."""
     name = unused(docs, "row_number")
-    rows = materialize(docs.withColumn(name, F.monotonically_increasing_id()), "numbered")  # numbers stay once written
+    rows = materialize(docs.withColumn(name, F.monotonically_increasing_id()), "numbered",
+                       compression="zstd")  # numbers stay once written
     groups = near_duplicates(rows.select(F.col(name).alias("doc_id"), "text"), percent=SIMILAR)
     groups = groups.select(F.col("doc_id").alias(name), "component_id")
     members = materialize(rows.select(name, "doc_id").join(groups, name), "members")

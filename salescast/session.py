@@ -97,16 +97,17 @@ def release(spark: SparkSession) -> None:
     _delete(spark, spark._jsc.hadoopConfiguration(), _run_folder(spark))
 
 
-def materialize(df: DataFrame, name: str, by: tuple[str, ...] = ()) -> DataFrame:
+def materialize(df: DataFrame, name: str, by: tuple[str, ...] = (), compression: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     The result survives lost executors, is not recomputed, and carries its true size, so that Catalyst
     decides from a measured number whether a later join may broadcast it. With ``by``, rows lie in a folder for each value, so
-    that a filter on it reads only what it needs.
+    that a filter on it reads only what it needs. ``compression`` is the session's by default; a denser one pays for copies of
+    whole texts.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.option("compression", "zstd").partitionBy(*by).parquet(path)
+    df.write.partitionBy(*by).parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
