@@ -7,6 +7,7 @@ import contextlib
 import shutil
 import tempfile
 import uuid
+import weakref
 
 import pyarrow as pa
 from py4j.protocol import Py4JError
@@ -108,7 +109,25 @@ def materialize(df: DataFrame, name: str, by: tuple[str, ...] = (), compression:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.partitionBy(*by).parquet(path, compression=compression)
-    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+    table = spark.read.schema(df.schema).parquet(path).select(*df.columns)
+    _written[table] = path
+    return table
+
+
+_written: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete the files of tables that ``materialize`` gave, once all that is made from them is written itself.
+
+    A table written from them reads its own files, so lost executors need nothing of these any more. Tables that were not
+    written by ``materialize``, or have gone already, are passed over.
+    """
+    for table in tables:
+        path = _written.pop(table, None)
+        if path:
+            spark = table.sparkSession
+            _delete(spark, spark._jsc.hadoopConfiguration(), path)
 
 
 def written(spark: SparkSession, path: str) -> DataFrame | None:

@@ -3,7 +3,7 @@ from types import SimpleNamespace
 
 import pytest
 
-from salescast.session import materialize, release, scratch_path, shared_folder
+from salescast.session import discard, materialize, release, scratch_path, shared_folder
 
 
 made = []
@@ -56,3 +56,13 @@ def test_one_folder_for_all_tables(spark):
 def test_empty_table_keeps_its_schema(spark):
     table = materialize(spark.range(10).where("id > 100").selectExpr("id", "'a' as name"), "nothing")
     assert table.count() == 0 and table.columns == ["id", "name"]
+
+
+def test_discarded_tables_leave_those_made_from_them(spark):
+    first = materialize(spark.range(10), "first")
+    second = materialize(first.where("id > 6"), "second")
+    folder = Path(scratch_path(spark, "x").removeprefix("file:")).parent
+    here = len(list(folder.glob("first-*")))
+    discard(first, second.where("id > 8"))  # the second is not a written table and stays
+    assert len(list(folder.glob("first-*"))) == here - 1 and second.count() == 3
+    discard(first)
