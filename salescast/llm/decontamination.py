@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salescast.llm.text import LETTERS, Words, runs
-from salescast.session import materialize
+from salescast.session import discard, materialize
 
 #: Text bytes of a block and of a group of phrases; both bound what one task holds at once.
 BLOCK = 2 << 20
@@ -231,6 +231,8 @@ def contamination(documents: DataFrame, benchmark: DataFrame, window: int = 10,
                           .withColumn("phrase_key", F.xxhash64("phrase")), "test-windows")
     phrases = windows.groupBy("phrase_key", "phrase").agg(F.lit(1).alias("one")).drop("one")
     hits = materialize(search(index, phrases, group=group), "window-hits")
+    counts = materialize(_row_counts(index), "row-counts")
+    discard(index)
     # Overlapping occurrences are merged by stretches: sorted by start, a stretch adds what lies beyond all before it.
     spans = hits.groupBy("block", "row", "start").agg(F.max("size").alias("size"))
     spans = spans.groupBy("block", "row").agg(F.sort_array(F.collect_list(F.struct("start", "size"))).alias("spans"))
@@ -246,7 +248,7 @@ def contamination(documents: DataFrame, benchmark: DataFrame, window: int = 10,
              .groupBy("block", "row").agg(F.sort_array(F.collect_set("item_id")).alias("items")))
     found = spans.join(items, ["block", "row"], "left")
     none = F.array().cast("array<string>")
-    return (_row_counts(index).join(found, ["block", "row"], "left")
+    return (counts.join(found, ["block", "row"], "left")
             .select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
                     F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
                     F.coalesce("items", none).alias("items"),

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from salescast.llm.components import components
 from salescast.llm.minhash import fingerprints, shingle_sets, signatures
 from salescast.llm.text import runs
-from salescast.session import materialize
+from salescast.session import discard, materialize
 
 COORDINATES = 64
 MATCHES = 36
@@ -165,6 +165,7 @@ def near_duplicates(documents: DataFrame, percent: int = 85, size: int = 5, bloc
         F.col("root").alias("cluster"), "node", F.ceil(F.col("members") / block).alias("blocks"))
     members = members.select("cluster", "node", "blocks", F.pmod(F.xxhash64("node"), "blocks").alias("block"))
     members = materialize(members.join(classes.select("node", "doc_id", "print", "signature"), "node"), "members")
+    discard(prefixes, groups)
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -182,6 +183,7 @@ def near_duplicates(documents: DataFrame, percent: int = 85, size: int = 5, bloc
                .select("text", "print", "cluster", "node", "blocks", "block", "signature").mapInArrow(fetch, kind))
     # Rows with the same id and text give a class twice; one of them is enough.
     fetched = materialize(fetched.dropDuplicates(["node"]), "fetched")
+    discard(members)
 
     many = max(1, fetched.select("node").count() // block)
     unit = F.when(F.col("blocks") == 1, -1 - F.pmod(F.xxhash64("cluster"), F.lit(many))).otherwise(F.xxhash64("cluster", "block"))
@@ -199,12 +201,16 @@ def near_duplicates(documents: DataFrame, percent: int = 85, size: int = 5, bloc
     pairs = (pairs.withColumn("unit", F.xxhash64("cluster", F.least("block", "against")))
              .withColumn("other", F.xxhash64("cluster", F.greatest("block", "against"))).select(*columns))
     more = pairs.groupBy("unit", "other").applyInArrow(_confirm(percent), "a bigint, b bigint")
-    roots = components(links.unionByName(materialize(more, "links")))
+    more = materialize(more, "links")
+    discard(fetched, roots)
+    roots = components(links.unionByName(more))
 
     labels = classes.select("node", "doc_id", "print").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = labels.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     labels = labels.join(least, "root").select("print", "component_id")
-    return (signed.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("print")).alias("print"))
-            .join(labels, "print", "left")
-            .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
-            .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))))
+    found = materialize(
+        signed.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("print")).alias("print"))
+        .join(labels, "print", "left")
+        .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")), "components")
+    discard(signed, classes, links, more, roots)
+    return found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
