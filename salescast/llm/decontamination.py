@@ -1,10 +1,14 @@
 """Benchmark decontamination over a distributed positional inverted index of the training documents.
 
 The index is a written table with one row per run of documents (a block of at most ``BLOCK`` bytes of text): the sorted
-terms of the block and, for each, the sorted positions of its occurrences. Blocks need no exchange, so a common word or a
-hot source never meets in one task. A search takes the test phrases in groups of bounded size, each sent to all blocks:
-in a block, a phrase starts from the positions of its rarest term and is intersected, offset by offset, with the lists of
-the others, the next rarest first. Nothing is sampled or capped.
+terms of the block and, for each, the sorted positions of its occurrences. Blocks need no exchange to be built, so a common
+word or a hot source never meets in one task.
+
+A search is joins. Terms that no test phrase has are left out of the blocks' terms; of the rest, those of a phrase that
+fewest blocks hold lead it. A phrase with a term that no block holds drops out; the others meet the blocks that hold
+their leading term, packed to rows of about ``GROUP`` bytes a block. In the block's own task a phrase starts from the
+positions of the term rarest there and is intersected, offset by offset, with the lists of the others, the next rarest
+first. Phrases stay in tables throughout; nothing is sampled, capped or brought to the driver but their total size.
 
 Edge cases: null and empty texts have no words and hit nothing. Phrases without words are ignored. Rows that repeat
 (same id, same or other text) are answered row by row. A null document id stays null. A benchmark row with a null id
@@ -23,7 +27,7 @@ from pyspark.sql import functions as F
 from salescast.llm.text import LETTERS, Words, runs
 from salescast.session import discard, materialize
 
-#: Text bytes of a block and of a group of phrases; both bound what one task holds at once.
+#: Text bytes of a block, and bytes of the phrases that meet it in one row; both bound what one task holds at once.
 BLOCK = 2 << 20
 GROUP = 4 << 20
 
@@ -35,7 +39,8 @@ def positional_index(documents: DataFrame, block: int = BLOCK) -> DataFrame:
     """The written index of ``documents`` (doc_id, text): a row per block.
 
     ``first`` has the first word of each document, ``terms`` the word hashes in order, ``lists`` where each term's list
-    begins in ``places``, all little-endian (u32, u64, u32, u32).
+    begins in ``places``, all little-endian (u32, u64, u32). ``places`` are steps from one to the next (u32), low bytes of all
+    first and high ones last, which a codec makes short.
     """
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -54,12 +59,22 @@ def positional_index(documents: DataFrame, block: int = BLOCK) -> DataFrame:
                     "first": [words.first.astype("<u4").tobytes()],
                     "terms": [terms.astype("<u8").tobytes()],
                     "lists": [np.append(lists, len(places)).astype("<u4").tobytes()],
-                    "places": [places.astype("<u4").tobytes()],
+                    "places": [_packed(places)],
                 })
                 number += 1
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return materialize(rows.mapInArrow(build, INDEX), "positional-index")
+    return materialize(rows.mapInArrow(build, INDEX), "positional-index", compression="zstd")
+
+
+def _packed(places: np.ndarray) -> bytes:
+    steps = np.diff(places, prepend=0).astype("<i4")
+    return np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8).reshape(4, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<i4").ravel(), dtype=np.int64)
 
 
 class _Block:
@@ -68,7 +83,7 @@ class _Block:
     def __init__(self, first: bytes, terms: bytes, lists: bytes, places: bytes):
         self.first = np.frombuffer(first, "<u4").astype(np.int64)
         self.terms, self.lists = np.frombuffer(terms, "<u8"), np.frombuffer(lists, "<u4").astype(np.int64)
-        self.places = np.frombuffer(places, "<u4").astype(np.int64)
+        self.places = _unpacked(places)
         # Lists one after the other, each shifted to a range of its own: a sorted set of (term, place).
         self.width = int(self.first[-1]) + 1
         self.keys = np.repeat(np.arange(len(self.terms)), np.diff(self.lists)) * self.width + self.places
@@ -153,55 +168,78 @@ def _windows(benchmark: DataFrame, window: int) -> DataFrame:
     return rows.mapInArrow(cut, "item_id string, phrase binary")
 
 
+def _phrase_terms(phrases: DataFrame) -> DataFrame:
+    """The different terms of each phrase, as (phrase_key, term)."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, terms = [], []
+            for key, phrase in zip(batch["phrase_key"].to_pylist(), batch["phrase"].to_pylist()):
+                own = np.unique(np.frombuffer(phrase, "<i8"))
+                keys.append(np.full(len(own), key, np.int64))
+                terms.append(own)
+            yield pa.RecordBatch.from_pydict({"phrase_key": pa.array(np.concatenate(keys or [np.zeros(0, np.int64)])),
+                                              "term": pa.array(np.concatenate(terms or [np.zeros(0, np.int64)]))})
+
+    return phrases.select("phrase_key", "phrase").mapInArrow(cut, "phrase_key bigint, term bigint")
+
+
+def _block_terms(index: DataFrame) -> DataFrame:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, terms in zip(batch["block"], batch["terms"]):
+                own = np.frombuffer(terms.as_buffer(), "<i8")
+                yield pa.RecordBatch.from_pydict({"block": pa.array(np.full(len(own), block.as_py())), "term": pa.array(own)})
+
+    return index.select("block", "terms").mapInArrow(cut, "block bigint, term bigint")
+
+
+def _meetings(index: DataFrame, phrases: DataFrame, group: int) -> DataFrame:
+    """The phrases that may occur in a block, as (block, keys, phrases): a row for about ``group`` bytes of them."""
+    parts = materialize(_phrase_terms(phrases), "phrase-terms")
+    wanted = materialize(parts.select("term").distinct(), "wanted-terms")
+    posted = materialize(_block_terms(index).join(wanted, "term", "left_semi").select("block", "term"), "term-blocks")
+    often = posted.groupBy("term").agg(F.count(F.lit(1)).alias("often"))
+    lead = (parts.join(often, "term", "left").groupBy("phrase_key")
+            .agg(F.min(F.struct("often", "term")).alias("lead"), F.bool_and(F.col("often").isNotNull()).alias("whole"))
+            .where("whole").select("phrase_key", "lead.term"))
+    total = phrases.agg(F.coalesce(F.sum(F.octet_length("phrase")), F.lit(0)).alias("n")).first().n
+    leads = lead.join(phrases, "phrase_key").withColumn("part", F.pmod(F.xxhash64("phrase_key"), F.lit(1 + total // group)))
+    return (posted.join(leads, "term").groupBy("block", "part")
+            .agg(F.collect_list("phrase_key").alias("keys"), F.collect_list("phrase").alias("phrases")).drop("part"))
+
+
 def search(index: DataFrame, phrases: DataFrame, slop: int | None = None, group: int = GROUP) -> DataFrame:
-    """Every occurrence of the phrases (phrase_key, phrase: u64 word hashes) in the index, as ``HITS``.
+    """Every occurrence of the phrases (phrase_key, different for each, and phrase: u64 word hashes) in the index, as ``HITS``.
 
     Exact phrases by default; with ``slop``, places of a phrase's rarest term that have all its other terms within that
-    many words in the same document, in any order. The phrases go to the blocks in groups of at most ``group`` bytes.
+    many words in the same document, in any order. A block meets its phrases in rows of about ``group`` bytes.
     """
-    out = None
-    keys, held, size = [], [], 0
-
-    def hits(keys: list[int], held: list[bytes]) -> DataFrame:
-        by_size = {}
-        for key, phrase in zip(keys, held):
-            by_size.setdefault(len(phrase) // 8, []).append((key, phrase))
-        tables = index.sparkSession.sparkContext.broadcast([
-            (n, np.array([k for k, _ in own], np.int64), np.frombuffer(b"".join(p for _, p in own), "<u8").reshape(-1, n))
-            for n, own in by_size.items()])
-
-        def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for i in range(batch.num_rows):
-                    row = {c: batch[c][i] for c in batch.schema.names}
-                    block = _Block(*(row[c].as_buffer() for c in ("first", "terms", "lists", "places")))
-                    ids = row["ids"].values
-                    for n, names, hashes in tables.value:
-                        which, start = (block.starts(hashes, n) if slop is None else block.near(hashes, n, slop))
-                        document = block.documents(start)
-                        yield pa.RecordBatch.from_pydict({
-                            "block": pa.array(np.full(len(which), row["block"].as_py())),
-                            "row": pa.array(document.astype(np.int32)),
-                            "doc_id": ids.take(pa.array(document)),
-                            "phrase_key": pa.array(names[which]),
-                            "start": pa.array((start - block.first[document]).astype(np.int32)),
-                            "size": pa.array(np.full(len(which), n if slop is None else 1, np.int32)),
-                        })
-
-        return index.mapInArrow(scan, HITS)
-
-    for row in phrases.select("phrase_key", "phrase").toLocalIterator():
-        if held and size + len(row.phrase) > group:
-            found = hits(keys, held)
-            out = found if out is None else out.unionByName(found)
-            keys, held, size = [], [], 0
-        keys.append(row.phrase_key)
-        held.append(bytes(row.phrase))
-        size += len(row.phrase)
-    if held:
-        found = hits(keys, held)
-        out = found if out is None else out.unionByName(found)
-    return out if out is not None else index.sparkSession.createDataFrame([], HITS)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = {c: batch[c][i] for c in batch.schema.names}
+                block = _Block(*(row[c].as_buffer() for c in ("first", "terms", "lists", "places")))
+                ids, by_size = row["ids"].values, {}
+                for key, phrase in zip(row["keys"].as_py(), row["phrases"].as_py()):
+                    by_size.setdefault(len(phrase) // 8, []).append((key, phrase))
+                for n, own in by_size.items():
+                    names = np.array([key for key, _ in own], np.int64)
+                    hashes = np.frombuffer(b"".join(phrase for _, phrase in own), "<u8").reshape(-1, n)
+                    which, start = (block.starts(hashes, n) if slop is None else block.near(hashes, n, slop))
+                    document = block.documents(start)
+                    yield pa.RecordBatch.from_pydict({
+                        "block": pa.array(np.full(len(which), row["block"].as_py())),
+                        "row": pa.array(document.astype(np.int32)),
+                        "doc_id": ids.take(pa.array(document)),
+                        "phrase_key": pa.array(names[which]),
+                        "start": pa.array((start - block.first[document]).astype(np.int32)),
+                        "size": pa.array(np.full(len(which), n if slop is None else 1, np.int32)),
+                    })
+
+    # Not written: a file of repeated phrases is far shorter than what a broadcast of it would hold.
+    return index.join(_meetings(index, phrases, group), "block").mapInArrow(scan, HITS)
 
 
 def _row_counts(index: DataFrame) -> DataFrame:
@@ -229,7 +267,7 @@ def contamination(documents: DataFrame, benchmark: DataFrame, window: int = 10,
     index = positional_index(documents, block)
     windows = materialize(_windows(benchmark, window)
                           .withColumn("phrase_key", F.xxhash64("phrase")), "test-windows")
-    phrases = windows.groupBy("phrase_key", "phrase").agg(F.lit(1).alias("one")).drop("one")
+    phrases = materialize(windows.select("phrase_key", "phrase").distinct(), "phrases")
     hits = materialize(search(index, phrases, group=group), "window-hits")
     counts = materialize(_row_counts(index), "row-counts")
     discard(index)

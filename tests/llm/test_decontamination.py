@@ -54,6 +54,30 @@ def test_exact_and_near_phrases(spark):
     assert not [r for r in search(index, phrase_table(spark, ["one three"]), slop=1).collect() if r.start == 0]
 
 
+def test_common_phrases_in_many_blocks_and_parts(spark):
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(12)]
+    docs = [(i, " ".join(rng.choice(words) for _ in range(60))) for i in range(300)]
+    index = positional_index(helpers.documents(spark, docs).repartition(4), block=400)
+    phrases = [f"{a} {b}" for a in words for b in words] + ["w1", "w2 w3 w4", "w1 absent"]
+    want = sorted((i, d, at) for i, p in enumerate(phrases) for d, text in docs
+                  for at in range(60) if text.split()[at: at + len(p.split())] == p.split())
+    for group in (64, 1 << 20):
+        found = search(index, phrase_table(spark, phrases), group=group).collect()
+        assert sorted((r.phrase_key, r.doc_id, r.start) for r in found) == want
+    near = {(r.phrase_key, r.doc_id, r.start) for r in search(index, phrase_table(spark, ["w1 w2 w3"]), slop=4, group=64).collect()}
+    assert all({"w1", "w2", "w3"} <= set(docs[d][1].split()[max(0, at - 4): at + 5]) for _, d, at in near) and near
+
+
+def test_a_long_document_in_the_index(spark):
+    rng = random.Random(6)
+    words = [rng.choice("abcdefgh") for _ in range(200_000)]
+    words[150_000: 150_003] = ["x", "y", "x"]
+    index = positional_index(helpers.documents(spark, [(1, " ".join(words)), (2, ""), (3, "x y")]))
+    found = search(index, phrase_table(spark, ["x y", "y x"])).collect()
+    assert sorted((r.phrase_key, r.doc_id, r.start) for r in found) == [(0, 1, 150_000), (0, 3, 0), (1, 1, 150_001)]
+
+
 def test_digest_of_items():
     # The query's digest of no items is that of the empty string.
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
