@@ -199,12 +199,14 @@ def _meetings(index: DataFrame, phrases: DataFrame, group: int) -> DataFrame:
     parts = materialize(_phrase_terms(phrases), "phrase-terms")
     wanted = materialize(parts.select("term").distinct(), "wanted-terms")
     posted = materialize(_block_terms(index).join(wanted, "term", "left_semi").select("block", "term"), "term-blocks")
-    often = posted.groupBy("term").agg(F.count(F.lit(1)).alias("often"))
+    # Written, as a join with an aggregate can't be split where a term is common.
+    often = materialize(posted.groupBy("term").agg(F.count(F.lit(1)).alias("often")), "term-counts")
     lead = (parts.join(often, "term", "left").groupBy("phrase_key")
             .agg(F.min(F.struct("often", "term")).alias("lead"), F.bool_and(F.col("often").isNotNull()).alias("whole"))
             .where("whole").select("phrase_key", "lead.term"))
     total = phrases.agg(F.coalesce(F.sum(F.octet_length("phrase")), F.lit(0)).alias("n")).first().n
-    leads = lead.join(phrases, "phrase_key").withColumn("part", F.pmod(F.xxhash64("phrase_key"), F.lit(1 + total // group)))
+    part = F.pmod(F.xxhash64("phrase_key"), F.lit(1 + total // group))
+    leads = materialize(lead.join(phrases, "phrase_key").withColumn("part", part), "leads")
     return (posted.join(leads, "term").groupBy("block", "part")
             .agg(F.collect_list("phrase_key").alias("keys"), F.collect_list("phrase").alias("phrases")).drop("part"))
 
