@@ -9,9 +9,14 @@ skipped there. Postings of one class alone can't collide; a class with fewer tha
 Classes that are connected by prefix postings form a group. In a group collisions are counted over all coordinates, pairs
 above the threshold are confirmed on their full sets, and each work unit returns a spanning forest of its links, never
 all pairs. A large group is cut into blocks of about ``BLOCK`` classes: first each block by itself; then, only where the
-links found so far leave a group in more than one component, every pair of blocks. So a group of thousands of copies costs
-work in proportion to its size, and yet no link between different components is left out. A pair at a
-similarity of 0.85 falls below ``MATCHES`` of ``COORDINATES`` collisions with a probability under 1e-8, at 0.8 under 5e-6.
+links found so far leave a group in more than one component, classes of different components. In a group of up to
+``DENSE`` blocks these meet block by block. A larger one may be a long chain of classes that share little, so there only
+classes meet that one prefix posting names: in pairs from a list of up to ``SHORT`` classes, whose collisions are counted
+on their signatures before their sets are fetched; a longer list is dealt out in blocks of its own. Lists within one
+component are skipped. So a group of thousands of copies costs work in proportion to its size, a chain in proportion to its
+lists, and yet no link between different components is left out: both ways find every pair of them with ``MATCHES``
+collisions. A pair at a similarity of 0.85 falls below ``MATCHES`` of ``COORDINATES`` collisions with a probability under
+1e-8, at 0.8 under 5e-6.
 
 Edge cases: null and empty texts, and those without words, have no shingles and are linked with nothing; component_id is
 their own doc_id. A null doc_id is never kept and is passed over for component_id unless its component has no other.
@@ -20,6 +25,7 @@ Repeated rows (same id) are answered row by row. Other columns are not read.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,6 +42,10 @@ COORDINATES = 64
 MATCHES = 36
 #: Classes of a large group that one task compares with each other.
 BLOCK = 512
+#: Blocks of an open group that are all compared with each other; a larger group is compared along its postings.
+DENSE = 16
+#: Classes of a posting list that are paired one by one; a longer list is compared in blocks.
+SHORT = 32
 #: Bytes of text that a task turns into shingles at once.
 RUN = 2 << 20
 
@@ -145,9 +155,69 @@ def _confirm(percent: int):
     return confirm
 
 
-def near_duplicates(documents: DataFrame, percent: int = 85, size: int = 5, block: int = BLOCK) -> DataFrame:
+def _colliding(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of pairs (a, b, left, right: signatures) those that collide often enough."""
+    for batch in batches:
+        left, right = (np.frombuffer(b"".join(batch[c].to_pylist()), np.uint64).reshape(-1, COORDINATES)
+                       for c in ("left", "right"))
+        good = (left == right).sum(axis=1) >= MATCHES
+        yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+
+def _similar(percent: int):
+    """Of pairs (a, b, left, right: sets) those that are linked."""
+
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = []
+            for left, right in zip(batch["left"], batch["right"]):
+                x, y = (np.frombuffer(s.as_buffer(), np.uint64) for s in (left, right))
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                good.append(100 * both >= percent * (len(x) + len(y) - both))
+            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+    return link
+
+
+def _with_both(pairs: DataFrame, classes: DataFrame, column: str) -> DataFrame:
+    """``pairs`` (a, b) with a column of both classes as left and right."""
+    one, two = (classes.select(F.col("node").alias(end), F.col(column).alias(side)) for end, side in (("a", "left"), ("b", "right")))
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "left", "right")
+
+
+def _along_postings(rooted: DataFrame, prefixes: DataFrame, classes: DataFrame, percent: int, block: int, short: int) -> DataFrame:
+    """Links (a, b) between different components of ``rooted`` (node, root) whose classes share a prefix posting.
+
+    ``classes`` has node, signature and shingles. Of a list longer than ``short`` each block and each pair of its blocks is a
+    work unit and gives a spanning forest.
+    """
+    held = prefixes.join(rooted, "node")
+    lists = held.groupBy("posting").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
+    held = materialize(held.join(lists.where("low <> high").select("posting", "n"), "posting"), "open-postings")
+
+    few = held.where(F.col("n") <= short)
+    left, right = (few.select("posting", F.col("node").alias(end), F.col("root").alias(f"{end}_root")) for end in ("a", "b"))
+    pairs = left.join(right, "posting").where("a < b and a_root <> b_root").select("a", "b").distinct()
+    pairs = materialize(_with_both(pairs, classes, "signature").mapInArrow(_colliding, "a bigint, b bigint"), "collisions")
+    linked = materialize(_with_both(pairs, classes, "shingles").mapInArrow(_similar(percent), "a bigint, b bigint"), "links")
+
+    many = held.where(F.col("n") > short).withColumn("parts", F.ceil(F.col("n") / block))
+    many = many.withColumn("block", F.pmod(F.xxhash64("node", "posting"), "parts")).withColumn(
+        "against", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    units = (many.withColumn("unit", F.xxhash64("posting", F.least("block", "against")))
+             .withColumn("other", F.xxhash64("posting", F.greatest("block", "against")))
+             .join(classes.select("node", "signature", "shingles"), "node")
+             .select("unit", "other", F.col("posting").alias("cluster"), "node", "block", "signature", "shingles"))
+    dealt = materialize(units.groupBy("unit", "other").applyInArrow(_confirm(percent), "a bigint, b bigint"), "links")
+    discard(held, pairs)
+    return linked.unionByName(dealt)
+
+
+def near_duplicates(documents: DataFrame, percent: int = 85, size: int = 5, block: int = BLOCK, dense: int = DENSE,
+                    short: int = SHORT) -> DataFrame:
     """Documents (doc_id, text) with the component that links of at least ``percent`` of a hundred similarity give them.
 
+    ``block``, ``dense`` and ``short`` decide how the work is cut, not what is found.
     Returns doc_id, n_shingles, component_id (the smallest doc_id reachable), kept; a row per row of ``documents``.
     """
     documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -165,7 +235,7 @@ def near_duplicates(documents: DataFrame, percent: int = 85, size: int = 5, bloc
         F.col("root").alias("cluster"), "node", F.ceil(F.col("members") / block).alias("blocks"))
     members = members.select("cluster", "node", "blocks", F.pmod(F.xxhash64("node"), "blocks").alias("block"))
     members = materialize(members.join(classes.select("node", "doc_id", "print", "signature"), "node"), "members")
-    discard(prefixes, groups)
+    discard(groups)
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -193,24 +263,26 @@ def near_duplicates(documents: DataFrame, percent: int = 85, size: int = 5, bloc
 
     large = fetched.where("blocks > 1")
     roots = components(links)
-    labelled = large.select("cluster", "node").join(roots, "node", "left")
-    open_ = labelled.groupBy("cluster").agg(F.min(F.coalesce("root", "node")).alias("low"),
-                                            F.max(F.coalesce("root", "node")).alias("high")).where("low <> high")
-    pairs = large.join(open_.select("cluster"), "cluster", "left_semi").withColumn(
+    labelled = large.select("cluster", "node", "blocks").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    open_ = labelled.groupBy("cluster", "blocks").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+    pairs = large.join(open_.where(F.col("blocks") <= dense).select("cluster"), "cluster", "left_semi").withColumn(
         "against", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).where("against <> block")
     pairs = (pairs.withColumn("unit", F.xxhash64("cluster", F.least("block", "against")))
              .withColumn("other", F.xxhash64("cluster", F.greatest("block", "against"))).select(*columns))
-    more = pairs.groupBy("unit", "other").applyInArrow(_confirm(percent), "a bigint, b bigint")
-    more = materialize(more, "links")
-    discard(fetched, roots)
-    roots = components(links.unionByName(more))
+    more = materialize(pairs.groupBy("unit", "other").applyInArrow(_confirm(percent), "a bigint, b bigint"), "links")
+    found, wide = [links, more], open_.where(F.col("blocks") > dense).select("cluster")
+    if not wide.isEmpty():
+        rooted = labelled.join(wide, "cluster", "left_semi").select("node", "root")
+        found.append(materialize(_along_postings(rooted, prefixes, large, percent, block, short), "links"))
+    discard(prefixes, fetched, roots)
+    roots = components(functools.reduce(DataFrame.unionByName, found))
 
     labels = classes.select("node", "doc_id", "print").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = labels.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     labels = labels.join(least, "root").select("print", "component_id")
-    found = materialize(
+    result = materialize(
         signed.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("print")).alias("print"))
         .join(labels, "print", "left")
         .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")), "components")
-    discard(signed, classes, links, more, roots)
-    return found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
+    discard(signed, classes, *found, roots)
+    return result.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))

@@ -64,6 +64,32 @@ def test_equals_brute_force(spark, block):
     assert sorted((tuple(r) for r in got.collect()), key=repr) == brute(docs)
 
 
+@pytest.mark.parametrize("short", [3, 200])
+def test_large_groups_along_postings_equal_brute_force(spark, short):
+    docs = made(5)
+    got = near_duplicates(helpers.documents(spark, docs).repartition(4), block=4, dense=2, short=short)
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == brute(docs)
+
+
+def test_chain_of_classes_that_share_values_in_pairs(spark, monkeypatch):
+    """Two thirds of each text are in the next one: one group of many blocks, in which few are linked."""
+    rng = random.Random(9)
+    words = [f"w{rng.randrange(1 << 30)}" for _ in range(14_500)]
+    docs = [(i, words[24 * i: 24 * i + 80]) for i in range(600)]
+    docs += [(1000 + i, [*t[:-1], "changed"]) for i, t in docs if i % 7 == 0]
+    docs = [(i, " ".join(t)) for i, t in docs]
+    from salescast.llm import near_dedup
+
+    blocks = []
+    plain = near_dedup._along_postings
+    monkeypatch.setattr(near_dedup, "_along_postings",
+                        lambda rooted, *rest: blocks.append(rooted.count()) or plain(rooted, *rest))
+    got = near_duplicates(helpers.documents(spark, docs).repartition(4), block=8)
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == sorted(
+        ((i, 76, i % 1000, i < 1000) for i, _ in docs), key=repr)
+    assert blocks and blocks[0] > 8 * near_dedup.DENSE
+
+
 def test_empty_table(spark):
     assert near_duplicates(helpers.documents(spark, [])).count() == 0
 
