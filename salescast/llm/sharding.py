@@ -6,7 +6,9 @@ is split on one more bit, until every shard fits. So a shard is a prefix of the
 Bytes are counted once per directory entry (a prefix as deep as the whole needs and ``SLACK`` bits more) and summed up the
 tree; an entry belongs to its shallowest ancestor that fits. Entries that are too large themselves are hot keys or very long
 rows: only their rows are counted again, some bits deeper. Counting is a combinable aggregate, no row carries its text, and
-what a join looks rows up in is the directory, not the rows.
+what a join looks rows up in is the directory, not the rows. All tasks may hold a round of up to ``HELD`` entries; a larger
+one is joined by a shuffle on entries, which are bits of a hash and so spread rows evenly, but for hot keys, whose rows
+adaptive execution splits.
 
 Rows of one key share the first ``KEY_BITS`` bits, and no split of them could part a hot key; below come bits of the text and
 of the row's place, which deal out its rows. A row beyond the limit is a shard of its own.
@@ -29,6 +31,8 @@ KEY_BITS, ROW_BITS = 32, 28
 BITS = KEY_BITS + ROW_BITS
 #: Bits that the directory is deeper than the shards of evenly spread rows, and bits of each later round.
 SLACK, STEP = 3, 6
+#: Entries of a round that every task may hold, of 24 bytes each.
+HELD = 1 << 17
 #: Bytes of text in a shard.
 LIMIT = 64 << 20
 
@@ -80,6 +84,8 @@ def shards(rows: DataFrame, keys: list[str], limit: int = LIMIT, text: str = "te
     rounds = directory(materialize(rows.select("hash", "bytes"), "hashes"), limit)
     out, left = None, rows
     for number, (bits, known) in enumerate(rounds):
+        if known.count() > HELD:
+            known = known.hint("merge")
         found = left.drop("depth", "shard_bytes").join(known, _first(bits) == known["entry"]).drop("entry")
         done = found.where("depth is not null") if number + 1 < len(rounds) else found
         out = done if out is None else out.unionByName(done)

@@ -1,6 +1,8 @@
 import helpers
+import pytest
 from pyspark.sql import functions as F
 
+from salescast.llm import sharding
 from salescast.llm.sharding import shards, write_shards
 
 
@@ -26,11 +28,15 @@ def test_shards_fit_and_split_only_if_needed(spark):
     assert len(by) > 30 and check(shards(rows, ["id"], limit=1 << 30), 1 << 30, 3000).depth.tolist() == [0]
 
 
-def test_hot_key_and_long_rows(spark):
+@pytest.mark.parametrize("held", [sharding.HELD, 0])
+def test_hot_key_and_long_rows(spark, monkeypatch, held):
+    monkeypatch.setattr(sharding, "HELD", held)
     rows = spark.range(4000).select(F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"),
                                     F.lit("x" * 100).alias("text"))
     more = [("big", "y" * 99_999), (None, None), (None, ""), ("", "a")]
-    by = check(shards(rows.unionByName(spark.createDataFrame(more, "k string, text string")), ["k"], limit=5000), 5000, 4004)
+    found = shards(rows.unionByName(spark.createDataFrame(more, "k string, text string")), ["k"], limit=5000)
+    assert ("BroadcastHashJoin" in found._jdf.queryExecution().executedPlan().toString()) == (held > 0)
+    by = check(found, 5000, 4004)
     assert by.bytes.max() == 99_999 and by.depth.max() > 32
 
 
