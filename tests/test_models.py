@@ -335,3 +335,17 @@ def test_duplicate_stores_are_audited(spark, sf_dir):
     result = pipeline.forecast_sales(sales, doubled, model_names=["linear_regression"])
     audits = {r.item: r.value for r in result.audits.where("audit = 'duplicate_stores'").collect()}
     assert audits == {"keys": "1", "extra_rows": str(n)}
+
+
+def test_a_group_of_trees_is_one_task_until_it_has_many_rows(spark):
+    """Each task shuffles the statistics of every node, for deep trees more than the rows."""
+    rows = spark.range(100).repartition(8)
+    assert models.dealt(rows, 440_000, models.GROUP_ROWS).rdd.getNumPartitions() == 1
+    assert models.dealt(rows, 40_000, models.FIT_ROWS).rdd.getNumPartitions() == 1
+
+
+def test_rows_are_scored_once_by_trees(spark):
+    data = table(spark).withColumn("split", F.when(F.col("a") > 3, "validation").otherwise("train"))
+    trained = train_all(data, ["random_forest"], {"random_forest": {"numTrees": 10, "maxDepth": 2, "maxBins": 16}}, ["a", "b"])
+    assert "UDF" not in trained.predictions._jdf.queryExecution().toString()
+    assert trained.predictions.count() == data.count()
