@@ -13,6 +13,7 @@ from salescast.plans import pipeline
 from salescast.plans.artefact import Forecaster, load_forecaster
 from salescast.plans.preprocess import preprocess_horizon, preprocess_train
 from salescast.plans.train import train_all
+from salescast.registry import queries
 from salescast.plans.tune import time_folds, tune
 from salescast.sources import derived, readers, writers
 
@@ -349,3 +350,21 @@ def test_rows_are_scored_once_by_trees(spark):
     trained = train_all(data, ["random_forest"], {"random_forest": {"numTrees": 10, "maxDepth": 2, "maxBins": 16}}, ["a", "b"])
     assert "UDF" not in trained.predictions._jdf.queryExecution().toString()
     assert trained.predictions.count() == data.count()
+
+
+def test_the_line_is_fitted_without_slicing_vectors(spark, monkeypatch):
+    df = table(spark).withColumn("d", F.lit(1))
+    whole = create_model("linear_regression").fit(df, ["a", "b"]).coefficients()
+    with monkeypatch.context() as patch:
+        patch.setattr(models.VectorSlicer, "transform", None)
+        model = create_model("linear_regression").fit(df, ["a", "d", "b"])
+    assert model.coefficients() == pytest.approx([whole[0], 0, whole[1]])
+    assert model.predict(df).count() == df.count()
+    with pytest.raises(Exception, match="(?i)null|nan"):  # a missing value in a constant feature, too
+        create_model("linear_regression").fit(df.withColumn("d", F.when(F.col("a") > 3, 1)), ["a", "d"])
+
+
+def test_the_report_fits_its_line_once(spark, sf_dir, monkeypatch):
+    fits, fit = [], queries.linear_fit
+    monkeypatch.setattr(queries, "linear_fit", lambda data: fits.append(1) or fit(data))
+    assert queries.QUERIES["evaluation_report"](spark, sf_dir).count() and len(fits) == 1
