@@ -21,13 +21,14 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salescast.llm.string_kernel import LENGTH, Landmarks, windows
+from salescast.llm.string_kernel import LENGTH, WIDEST, Landmarks, windows
 from salescast.llm.text import LETTERS, SPACED, Words, runs
 from salescast.session import materialize
 
@@ -43,6 +44,8 @@ GRAMS = (4, 5, 6)
 WORST = 3
 #: Bytes of text whose distinct fragments a task compares at once; more of it repeats itself more, but takes more memory.
 RUN = 4 << 20
+#: Short fragments whose decisions a task keeps from run to run; further ones are compared again.
+KNOWN = 400_000
 
 
 def fragments(column: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -78,6 +81,14 @@ class Model:
         self.landmarks, self.weights, self.constant = landmarks, weights, constant
         self.curve = np.zeros(WORST + 2)
 
+    def remembered(self, strings: list[str], marks: Landmarks, known: dict[str, float]) -> np.ndarray:
+        """The decisions of fragments, those of earlier runs from ``known``, which takes up to ``KNOWN`` of the new ones."""
+        new = [s for s in strings if s not in known]
+        found = dict(zip(new, self.decisions(new, marks).tolist()))
+        value = np.array([known[s] if s in known else found[s] for s in strings], float)
+        known.update(islice(((s, v) for s, v in found.items() if len(s) <= WIDEST), max(0, KNOWN - len(known))))
+        return value
+
     def decisions(self, strings: list[str], marks: Landmarks) -> np.ndarray:
         parts = [windows(s) for s in strings]
         flat = [p for own in parts for p in own]
@@ -86,13 +97,16 @@ class Model:
         sizes = np.fromiter(map(len, parts), np.int64, len(parts))
         return np.maximum.reduceat(value, np.cumsum(sizes) - sizes) if len(parts) else value
 
-    def documents(self, column: pa.Array, marks: Landmarks) -> np.ndarray:
-        """For each row its ``WORST`` largest decisions, the logarithm of its number of fragments, and 1."""
+    def documents(self, column: pa.Array, marks: Landmarks, known: dict[str, float] | None = None) -> np.ndarray:
+        """For each row its ``WORST`` largest decisions, the logarithm of its number of fragments, and 1.
+
+        With ``known``, decisions of fragments are kept there for the next call.
+        """
         found, kind, row = fragments(column)
         out = np.full((len(column), WORST + 2), self.constant)
         out[:, -2] = np.log1p(np.bincount(row, minlength=len(column)))
         out[:, -1] = 1
-        value = self.decisions(found, marks)[kind]
+        value = (self.decisions(found, marks) if known is None else self.remembered(found, marks, known))[kind]
         high = np.flatnonzero(value > self.constant + 1e-6)
         row, value = row[high], value[high]
         order = np.lexsort((-value, row))
@@ -311,10 +325,10 @@ def toxicity(documents: DataFrame, labels: DataFrame, allowed: Column, most: int
 
     @F.arrow_udf("double")
     def score(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        marks = Landmarks(model.landmarks)
+        marks, known = Landmarks(model.landmarks), {}
         for batch in texts:
             rows = pa.RecordBatch.from_arrays([batch], ["text"])
-            value = [model.documents(part["text"], marks) for part in runs(rows, "text", RUN)]
+            value = [model.documents(part["text"], marks, known) for part in runs(rows, "text", RUN)]
             yield pa.array(model.scores(np.concatenate(value or [np.zeros(0)])))
 
     return documents.withColumn(column, score(F.col("text").cast("string")))

@@ -2,11 +2,12 @@ import itertools
 import random
 
 import helpers
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
 from salescast.llm.string_kernel import DECAY, LENGTH, WIDEST, Landmarks, windows
-from salescast.llm.toxicity import fragments, toxicity
+from salescast.llm.toxicity import Model, fragments, toxicity
 
 
 def kernel(s, t):
@@ -82,3 +83,16 @@ def test_without_examples(spark):
     for own in (labels, labels.limit(0)):
         assert [r.toxicity for r in toxicity(docs, own, F.lit(True)).collect()] == [0.0, 0.0]
     assert toxicity(docs.limit(0), labels, F.lit(True)).count() == 0
+
+
+def test_a_task_compares_a_fragment_once(monkeypatch):
+    model, texts = Model([" idiot", "scum"], np.array([2.0, 1.0]), -1.0), ["you idiot and scum", "an idiXot", "", None, "scum " + "i" * 60]
+    marks, known, asked = Landmarks(model.landmarks), {}, []
+    want = model.documents(pa.array(texts, pa.string()), marks)
+    decide = Model.decisions
+    monkeypatch.setattr(Model, "decisions", lambda self, strings, marks: asked.extend(strings) or decide(self, strings, marks))
+    for _ in range(2):
+        assert np.allclose(model.documents(pa.array(texts, pa.string()), marks, known), want, rtol=1e-6)
+    assert len(asked) == len(set(asked)) + 1  # the long fragment is not kept
+    monkeypatch.setattr("salescast.llm.toxicity.KNOWN", 0)
+    assert np.allclose(model.documents(pa.array(texts, pa.string()), marks, {}), want, rtol=1e-6)
