@@ -368,3 +368,18 @@ def test_the_report_fits_its_line_once(spark, sf_dir, monkeypatch):
     fits, fit = [], queries.linear_fit
     monkeypatch.setattr(queries, "linear_fit", lambda data: fits.append(1) or fit(data))
     assert queries.QUERIES["evaluation_report"](spark, sf_dir).count() and len(fits) == 1
+
+
+def test_a_failed_fit_is_no_result_of_a_query(spark, sf_dir, monkeypatch):
+    """A query without rows, or a forecast by the line alone, would look like a whole run."""
+    monkeypatch.setattr(queries, "_TRAINED", {})
+    tried = {"boosted_deep": "boosted_deep", "boosted_leaf": "boosted_leaf", "forest_model": "random_forest", "forecast_pipeline": "random_forest"}
+    for name, kind in tried.items():
+        with monkeypatch.context() as patch:
+            patch.setitem(models.DEFAULTS, kind, {**models.DEFAULTS[kind], "maxBins": 1})
+            with pytest.raises(Exception, match="maxBins"):
+                queries.QUERIES[name](spark, sf_dir)
+    monkeypatch.setitem(models.DEFAULTS, "boosted_deep", {**models.DEFAULTS["boosted_deep"], **SMALL["boosted_deep"], "maxIter": 2})
+    assert queries.QUERIES["boosted_deep"](spark, sf_dir).count() == 2  # nothing of the failure is kept
+    with pytest.raises(ValueError, match="nonsense"):
+        train_all(table(spark).withColumn("split", F.lit("train")), ["linear_regression", "nonsense"], features=["a"], strict=True)
